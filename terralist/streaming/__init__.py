@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The feature set this library covers is made of bounded batches: no watermark,
+no window over event time and no stateful operator exists in it, so none is
+defined here.  Every operator is a plain DataFrame transformation.
+"""
