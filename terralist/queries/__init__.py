@@ -1,0 +1,8 @@
+"""The registered queries; importing this package fills the registry."""
+
+import importlib
+
+from terralist.queries.registry import ORACLES, QUERIES
+
+for _module in ("tracking",):
+    importlib.import_module(f"terralist.queries.{_module}")

@@ -14,6 +14,7 @@ def local_session(cores="*", app="terralist", shuffle_partitions=8, **conf):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -5,13 +5,11 @@ import io
 import zipfile
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from terralist import constants as K
 from terralist.operators.shaping import align
 
-FILE = F.col("path")
-
 
 # --- discovery ------------------------------------------------------------------
 
@@ -107,20 +105,20 @@ def delimiter_of(sample: bytes) -> str:
 
 def sniff_delimiters(spark: SparkSession, paths) -> DataFrame:
     """(path, delimiter) of plain text files, counted on their first 50 lines."""
-    lines = spark.read.option("wholetext", "false").text(paths).select(
+    lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
         "value", F.monotonically_increasing_id().alias("position"),
     )
-    # 50 lines per file: aggregate keeps only the smallest positions.
-    first = lines.groupBy("path").agg(
-        F.slice(F.sort_array(F.collect_list(
-            F.when(F.col("start") == 0, F.struct("position", "value"))
-        )), 1, 50).alias("head")
+    # The rank limit is applied in every task before the shuffle, so at most
+    # 50 lines per file and task travel.
+    rank = F.row_number().over(Window.partitionBy("path").orderBy("position"))
+    head = lines.filter("start = 0").withColumn("_rank", rank).filter("_rank <= 50")
+    semicolons = F.sum(F.regexp_count("value", F.lit(";")))
+    commas = F.sum(F.regexp_count("value", F.lit(",")))
+    return head.groupBy("path").agg(
+        F.when(semicolons > commas, ";").otherwise(",").alias("delimiter")
     )
-    joined = F.array_join(F.transform("head", lambda h: h["value"]), "\n")
-    semicolons, commas = F.regexp_count(joined, F.lit(";")), F.regexp_count(joined, F.lit(","))
-    return first.select("path", F.when(semicolons > commas, ";").otherwise(",").alias("delimiter"))
 
 
 def null_tokens(df: DataFrame, tokens=None, columns=None) -> DataFrame:
