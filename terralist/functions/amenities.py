@@ -60,7 +60,7 @@ def amenity_struct(normalized, keys=None) -> Column:
 
 def lenient_boolean(column) -> Column:
     """Text to boolean: a number first (positive is true), then words, else null."""
-    text = F.lower(F.trim(F.lit('"'), trim_space(column)))
+    text = F.lower(F.trim(trim_space(column), F.lit('"')))
     number = F.replace(
         F.regexp_substr(text, F.lit(r"-?\d+(?:[.,]\d+)?")), F.lit(","), F.lit(".")
     ).try_cast("double")

@@ -115,7 +115,7 @@ def wave_name(column) -> Column:
     Surrounding slashes go first, so the last segment never holds one and the
     same rule serves dated and undated folders.
     """
-    return F.element_at(F.split(F.trim(F.lit("/"), _col(column)), "/"), -1)
+    return F.element_at(F.split(F.trim(_col(column), F.lit("/")), "/"), -1)
 
 
 def lenient_date(column) -> Column:
