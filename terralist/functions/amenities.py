@@ -4,7 +4,7 @@ from pyspark.sql import Column, functions as F
 
 from terralist import constants as K
 from terralist.functions.text import trim_space
-from terralist.functions.unicode import fold_to_ascii
+from terralist.functions.unicode import fold_to_ascii, let
 
 
 def _col(column) -> Column:
@@ -39,11 +39,17 @@ def normalized_amenities(column) -> Column:
         _entries(column),
         lambda e: F.struct(_key(e["key"]).alias("key"), _value(e["value"]).alias("value")),
     )
-    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-    last = F.transform(
-        keys, lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"]
-    )
-    return F.map_from_arrays(keys, last)
+
+    def last_of(entries):
+        keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+        return let(keys, lambda keys: F.map_from_arrays(
+            keys,
+            F.transform(keys, lambda k: F.element_at(
+                F.filter(entries, lambda e: e["key"] == k), -1
+            )["value"]),
+        ))
+
+    return let(entries, last_of)
 
 
 def normalized_amenities_json(column) -> Column:
@@ -52,20 +58,29 @@ def normalized_amenities_json(column) -> Column:
 
 def amenity_struct(normalized, keys=None) -> Column:
     """Only the wanted keys, as a struct of text; missing keys are null."""
-    table = _col(normalized)
-    return F.struct(
+    return let(_col(normalized), lambda table: F.struct(
         *[F.try_element_at(table, F.lit(k)).alias(k) for k in (keys or K.AMENITY_KEYS)]
-    )
+    ))
+
+
+def amenities(column, keys=None) -> Column:
+    """The wanted amenities of a JSON text as a struct of booleans."""
+    keys = keys or K.AMENITY_KEYS
+    return let(amenity_struct(normalized_amenities(column), keys), lambda raw: F.struct(
+        *[lenient_boolean(raw[k]).alias(k) for k in keys]
+    ))
 
 
 def lenient_boolean(column) -> Column:
     """Text to boolean: a number first (positive is true), then words, else null."""
-    text = F.lower(F.trim(trim_space(column), F.lit('"')))
-    number = F.replace(
-        F.regexp_substr(text, F.lit(r"-?\d+(?:[.,]\d+)?")), F.lit(","), F.lit(".")
-    ).try_cast("double")
-    return (
-        F.when(number.isNotNull(), number > 0)
-        .when(text.isin(K.TRUE_WORDS), True)
-        .when(text.isin(K.FALSE_WORDS), False)
-    )
+    def read(text):
+        number = F.replace(
+            F.regexp_substr(text, F.lit(r"-?\d+(?:[.,]\d+)?")), F.lit(","), F.lit(".")
+        ).try_cast("double")
+        return (
+            F.when(number.isNotNull(), number > 0)
+            .when(text.isin(K.TRUE_WORDS), True)
+            .when(text.isin(K.FALSE_WORDS), False)
+        )
+
+    return let(F.lower(F.trim(trim_space(column), F.lit('"'))), read)

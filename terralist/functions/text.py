@@ -1,14 +1,17 @@
 """Text functions: Column in, Column out, no Python in the data path."""
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from terralist import constants as K
-from terralist.functions.unicode import class_of, fold_accents, fold_to_ascii
+from terralist.functions.unicode import class_of, fold_accents, fold_to_ascii, let
 
-# Whitespace as Python's ``\s`` sees it; used where texts are cleaned.
-SPACE = r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# Whitespace where texts are cleaned: Unicode white space and the separators
+# U+001C to U+001F.  Needs the (?U) flag.
+SPACE = r"[\s\x1c-\x1f]"
 
 
 def _text(column) -> Column:
@@ -17,15 +20,15 @@ def _text(column) -> Column:
 
 def trim_space(column) -> Column:
     """Strip Unicode whitespace from both ends."""
-    return F.regexp_replace(_text(column).cast("string"), rf"^{SPACE}+|{SPACE}+$", "")
+    return F.regexp_replace(_text(column).cast("string"), rf"(?U)^{SPACE}+|{SPACE}+$", "")
 
 
 def clean_text(column) -> Column:
     """Text normalize: emoji to space, accents folded, upper, single spaces."""
     text = F.coalesce(_text(column).cast("string"), F.lit(""))
-    emoji = class_of(K.PICTOGRAPHIC_RANGES + K.EMOJI_JOINERS)
-    text = F.upper(fold_accents(F.regexp_replace(text, emoji, " ")))
-    return trim_space(F.regexp_replace(text, SPACE + "+", " "))
+    emoji = K.PICTOGRAPHIC_RANGES + K.EMOJI_JOINERS
+    text = F.upper(fold_accents(text, blank=emoji))
+    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
 def homologate(column, mapping=None) -> Column:
@@ -79,15 +82,21 @@ def _any_of(words) -> str:
     return "|".join(re.escape(w) for w in words)
 
 
+def contains_any(text: Column, words) -> Column:
+    """True when one of the words is in the text; searching for each literal is
+    much faster than one long alternation."""
+    # A word that contains another word of the list adds nothing.
+    needed = [w for w in words if not any(o != w and o in w for o in words)]
+    return reduce(or_, [text.contains(w) for w in needed])
+
+
 def is_auction(*columns) -> Column:
     """1 when any text has auction words and no presale words, else 0."""
-    flag = F.lit(False)
-    for column in columns:
-        text = _text(column)
-        hit = text.rlike(_any_of(K.AUCTION_WORDS))
-        veto = text.rlike(_any_of(K.AUCTION_VETO_WORDS))
-        flag = flag | F.coalesce(hit & ~veto, F.lit(False))
-    return flag.cast("tinyint")
+    def flag(text):
+        return contains_any(text, K.AUCTION_WORDS) & ~contains_any(text, K.AUCTION_VETO_WORDS)
+
+    flags = [F.coalesce(flag(_text(c)), F.lit(False)) for c in columns]
+    return reduce(or_, flags).cast("tinyint")
 
 
 def first_number(column, *, all_commas=False) -> Column:
@@ -123,14 +132,31 @@ def range_midpoint(column) -> Column:
 
 
 def _blank(text: Column, flags: str, patterns) -> Column:
-    for pattern in patterns:
-        text = F.regexp_replace(text, flags + pattern.replace(r"\s", SPACE), " ")
-    return text
+    """Each pattern to a space, in order.
+
+    The longest word of a pattern has to be in the text for it to match, so
+    the pattern only runs on the texts that have it.
+    """
+    def step(text, upper, pattern):
+        word = max(re.findall("[A-Z]+", re.sub(r"\\.", " ", pattern)), key=len)
+        blanked = flags + pattern.replace(r"\s", SPACE)
+        return let(text, lambda t: F.when(
+            upper.contains(word), F.regexp_replace(t, blanked, " ")
+        ).otherwise(t))
+
+    def steps(whole):
+        # Blanking never joins two letters, so a word missing at the start
+        # stays missing and one upper-case copy serves all steps.
+        return let(
+            F.upper(whole), lambda upper: reduce(lambda t, p: step(t, upper, p), patterns, whole)
+        )
+
+    return let(text, steps)
 
 
 def remove_legal(column) -> Column:
     """Legal boilerplate to a space."""
-    return _blank(_text(column), "(?isu)", K.LEGAL_PATTERNS)
+    return _blank(_text(column), "(?isU)", K.LEGAL_PATTERNS)
 
 
 def remove_codes(column) -> Column:
@@ -140,26 +166,30 @@ def remove_codes(column) -> Column:
 
 def remove_marketing(column) -> Column:
     """Marketing phrases and runs of exclamation or question marks to a space."""
-    return _blank(
-        _text(column), "(?iu)",
-        [_any_of(K.MARKETING_PHRASES), "[!¡]{2,}", "[?¿]{2,}"],
-    )
+    phrases = "(?iu)" + _any_of(K.MARKETING_PHRASES)
+    text = let(_text(column), lambda t: F.when(
+        contains_any(F.upper(t), K.MARKETING_PHRASES), F.regexp_replace(t, phrases, " ")
+    ).otherwise(t))
+    return F.regexp_replace(F.regexp_replace(text, "[!¡]{2,}", " "), "[?¿]{2,}", " ")
 
 
 def remove_special(column) -> Column:
     """Bullets, asterisk runs, line-edge asterisks and dash runs."""
+    def asterisks(text):
+        text = F.regexp_replace(text, r"\*{2,}", " ")
+        # (?d): only the newline ends a line, so \r and others stay ordinary.
+        text = F.regexp_replace(text, rf"(?mdU)^\*{SPACE}*", "")
+        return F.regexp_replace(text, rf"(?mdU){SPACE}*\*$", "")
+
     text = F.translate(_text(column), K.BULLETS, " " * len(K.BULLETS))
-    text = F.regexp_replace(text, r"\*{2,}", " ")
-    # (?md): only the newline ends a line, so \r and others stay ordinary.
-    text = F.regexp_replace(text, rf"(?md)^\*{SPACE}*", "")
-    text = F.regexp_replace(text, rf"(?md){SPACE}*\*$", "")
+    text = let(text, lambda t: F.when(t.contains("*"), asterisks(t)).otherwise(t))
     return F.regexp_replace(text, f"[{re.escape(K.DASHES)}]{{2,}}", " ")
 
 
 def remove_stop_words(column, words=None) -> Column:
     """Drop stop words and one-character words; single spaces between the rest."""
     words = F.array(*[F.lit(w) for w in (words or K.STOP_WORDS)])
-    parts = F.split(_text(column), SPACE + "+")
+    parts = F.split(_text(column), f"(?U){SPACE}+")
     kept = F.filter(
         parts,
         lambda w: (F.length(w) > 1) & ~F.array_contains(words, F.lower(w)),
@@ -176,7 +206,7 @@ def clean_description(column, *, drop_stop_words=False) -> Column:
     if drop_stop_words:
         text = remove_stop_words(text)
     text = F.regexp_replace(text, K.PUNCTUATION_CLASS, " ")
-    return trim_space(F.regexp_replace(text, SPACE + "+", " "))
+    return F.trim(F.regexp_replace(text, f"(?U){SPACE}+", " "))
 
 
 def with_clean_description(

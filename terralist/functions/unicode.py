@@ -16,13 +16,29 @@ from pyspark.sql import Column, functions as F
 HANGUL_FIRST, HANGUL_LAST = 0xAC00, 0xD7A3
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def class_of(ranges) -> str:
-    """A regex character class (Java syntax) from code point ranges."""
-    parts = [
-        rf"\x{{{lo:X}}}" if lo == hi else rf"\x{{{lo:X}}}-\x{{{hi:X}}}"
-        for lo, hi in ranges
-    ]
-    return "[" + "".join(parts) + "]"
+    """A regex character class (Java syntax) from code point ranges.
+
+    Long classes are tested range by range, so one cheap test rules out the
+    wide spans below U+2000 without a member, where nearly all text lies.
+    """
+    def written(spans):
+        return "[" + "".join(
+            rf"\x{{{lo:X}}}" if lo == hi else rf"\x{{{lo:X}}}-\x{{{hi:X}}}" for lo, hi in spans
+        ) + "]"
+
+    empty, start = [], 0
+    for lo, hi in sorted(ranges):
+        if start < 0x2000 and lo - start >= 0x20:
+            empty.append((start, min(lo, 0x2000) - 1))
+        start = hi + 1
+    skip = f"(?!{written(empty)})" if empty else ""
+    return f"(?:{skip}{written(ranges)})"
 
 
 @cache
@@ -70,22 +86,31 @@ def _hangul(char: Column) -> Column:
     )
 
 
-def fold_accents(text: Column) -> Column:
-    """NFKD with combining marks removed."""
+def fold_accents(text: Column, *, blank=()) -> Column:
+    """NFKD with combining marks removed.
+
+    Characters in the ``blank`` ranges become a space instead.
+    """
     one, many = _folding()
+    blanks = {chr(point): " " for lo, hi in blank for point in range(lo, hi + 1)}
+    one = {**one, **blanks}
+    many = {c: folded for c, folded in many.items() if c not in blanks}
     expanding = class_of([*_ranges(many), (HANGUL_FIRST, HANGUL_LAST)])
     table = F.from_json(F.lit(json.dumps(many)), "map<string,string>")
-    expanded = F.array_join(
-        F.transform(
-            F.split(text, ""),
-            lambda c: F.when(
-                c.between(chr(HANGUL_FIRST), chr(HANGUL_LAST)), _hangul(c)
-            ).otherwise(F.coalesce(F.try_element_at(table, c), c)),
-        ),
-        "",
-    )
+
+    def expand(text):
+        return F.array_join(
+            F.transform(
+                F.split(text, ""),
+                lambda c: F.when(
+                    c.between(chr(HANGUL_FIRST), chr(HANGUL_LAST)), _hangul(c)
+                ).otherwise(F.coalesce(F.try_element_at(table, c), c)),
+            ),
+            "",
+        )
+
     # Most texts contain none of the expanding characters and skip the lookup.
-    text = F.when(text.rlike(expanding), expanded).otherwise(text)
+    text = let(text, lambda t: F.when(t.rlike(expanding), expand(t)).otherwise(t))
     text = F.translate(text, "".join(one), "".join(one.values()))
     return F.regexp_replace(text, r"\p{M}+", "")
 

@@ -36,6 +36,18 @@ def keep_known(df: DataFrame, columns) -> DataFrame:
     return df.select(*[c for c in columns if c in df.columns])
 
 
+def with_computed(df: DataFrame, columns) -> DataFrame:
+    """Add costly columns that several later steps use.
+
+    The optimizer moves filters below projections and merges projections, and
+    each move repeats the expressions involved.  A one-element ``inline`` keeps
+    them where they are, so they are computed once per row.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(row)))
+
+
 def all_except(df: DataFrame, *columns) -> DataFrame:
     return df.drop(*columns)
 

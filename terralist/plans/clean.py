@@ -6,7 +6,7 @@ from terralist import constants as K
 from terralist.functions import amenities as A, numbers as N, text as T
 from terralist.operators import filters as R
 from terralist.operators.keys import number_rows, one_per_key
-from terralist.operators.shaping import align, keep_known, rename_present, tag, with_missing_text
+from terralist.operators.shaping import align, keep_known, rename_present, tag, with_computed, with_missing_text
 
 
 def standardize_source(
@@ -89,16 +89,18 @@ def clean_listings(
     has_type = "property_type" in df.columns
     df = with_missing_text(df, [*TEXT_INPUTS, "m2_terrain", "m2_built", "year_built"])
     kind = T.homologate("property_type") if has_type else F.lit(None).cast("string")
-    df = df.withColumns(
+    df = with_computed(
+        df,
         {
             "_kind": kind,
             "title_clean": T.clean_text("title"),
             "description_clean": T.clean_text("description"),
             "_type_clean": T.clean_text("property_type"),
             "_url_clean": T.clean_text("source_listing_url"),
-        }
+        },
     )
-    df = df.withColumns(
+    df = with_computed(
+        df,
         {
             "is_development": T.is_development(
                 "_type_clean", "description_clean", "year_built", "main_development_url"
@@ -106,14 +108,14 @@ def clean_listings(
             "id_dev": T.development_id("main_development_url"),
             "is_remate": T.is_auction("description_clean", "title_clean", "_url_clean"),
             "_kind": T.resolve_development_type("_kind", "title", cascade=cascade_types),
-        }
+        },
     )
     df = R.not_auction(df)
     if has_publisher:
         df = R.publisher_filter(df)
     df = R.property_type_filter(df, "_kind")
-    df = df.withColumn("_amenities", A.amenity_struct(A.normalized_amenities("amenidades")))
-    df = df.withColumns({k: A.lenient_boolean(F.col("_amenities")[k]) for k in K.AMENITY_KEYS})
+    df = df.withColumn("_amenities", A.amenities("amenidades"))
+    df = df.withColumns({k: F.col("_amenities")[k] for k in K.AMENITY_KEYS})
     df = rename_present(df, {"id": "id_ext", "property_type": "property_type_raw"})
     df = df.withColumnRenamed("_kind", "property_type")
     df = df.withColumns(

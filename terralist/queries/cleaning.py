@@ -206,9 +206,8 @@ SELECT p.id, p.wave, {', '.join(f"{amenity_sql('a.' + k)} AS {k}" for k in K.AME
 FROM portal p LEFT JOIN amen a ON a.id = p.id AND a.wave = p.wave""")
 def amenities(spark, folder):
     rows = portal_listings(spark, folder)
-    found = A.amenity_struct(A.normalized_amenities("amenidades"))
-    return rows.select("id", "wave", found.alias("a")).select(
-        "id", "wave", *[A.lenient_boolean(f"a.{k}").alias(k) for k in K.AMENITY_KEYS]
+    return rows.select("id", "wave", A.amenities("amenidades").alias("a")).select(
+        "id", "wave", "a.*"
     )
 
 
