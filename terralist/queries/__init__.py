@@ -4,5 +4,5 @@ import importlib
 
 from terralist.queries.registry import ORACLES, QUERIES
 
-for _module in ("tracking", "cleaning"):
+for _module in ("tracking", "cleaning", "spatial"):
     importlib.import_module(f"terralist.queries.{_module}")
