@@ -208,7 +208,8 @@ def grouped_rows(spark, folder, edge=0.2):
 
 
 def ratio_sql(column):
-    return (f"coalesce(1e0 - least(greatest(abs(a.{column} - b.{column}) / greatest(abs(a.{column}), abs(b.{column}), 1e0), 0e0), 1e0), 0e0)")
+    return (f"CASE WHEN a.{column} IS NULL OR b.{column} IS NULL THEN 0e0 "
+            f"ELSE 1e0 - least(abs(a.{column} - b.{column}) / greatest(abs(a.{column}), abs(b.{column}), 1e0), 1e0) END")
 
 
 def equal_sql(column, otherwise="0e0"):
