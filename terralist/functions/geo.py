@@ -5,6 +5,7 @@ import math
 from pyspark.sql import Column, functions as F
 
 from terralist import constants as K
+from terralist.functions.unicode import let
 
 
 def _col(column) -> Column:
@@ -17,50 +18,59 @@ def ring_offsets(k: int):
     return [(q, r) for q in steps for r in steps if abs(q + r) <= k]
 
 
+def _round_axial(at: Column) -> Column:
+    """Nearest hexagon of fractional axial coordinates."""
+    def pick(near):
+        error = [F.abs(near[i] - v) for i, v in (("q", at["q"]), ("r", at["r"]), ("s", -at["q"] - at["r"]))]
+        # The coordinate with the largest rounding error follows from the others.
+        fix_q = (error[0] > error[1]) & (error[0] > error[2])
+        fix_r = ~fix_q & (error[1] > error[2])
+        return F.struct(
+            F.when(fix_q, -near["r"] - near["s"]).otherwise(near["q"]).alias("q"),
+            F.when(fix_r, -near["q"] - near["s"]).otherwise(near["r"]).alias("r"),
+        )
+
+    def whole(value, name):
+        return F.floor(value + 0.5).cast("bigint").alias(name)
+
+    nearest = F.struct(whole(at["q"], "q"), whole(at["r"], "r"), whole(-at["q"] - at["r"], "s"))
+    return let(nearest, pick)
+
+
 def hex_axial(lat, lon, *, edge_km=0.2, lat0=19.4) -> Column:
     """Struct(q, r) of the hexagon that holds a point; null without a point."""
     degree_km = math.pi * K.EARTH_RADIUS_KM / 180.0
     x = _col(lon) * F.lit(degree_km * math.cos(math.radians(lat0)))
     y = _col(lat) * F.lit(degree_km)
-    q = (x * F.lit(math.sqrt(3.0) / 3.0) - y / F.lit(3.0)) / F.lit(edge_km)
-    r = (y * F.lit(2.0 / 3.0)) / F.lit(edge_km)
-    nearest = [F.floor(v + 0.5).cast("bigint") for v in (q, r, -q - r)]
-    error = [F.abs(n - v) for n, v in zip(nearest, (q, r, -q - r))]
-    # The coordinate with the largest rounding error is recomputed from the others.
-    fix_q = (error[0] > error[1]) & (error[0] > error[2])
-    fix_r = ~fix_q & (error[1] > error[2])
-    return F.when(
-        _col(lat).isNotNull() & _col(lon).isNotNull(),
-        F.struct(
-            F.when(fix_q, -nearest[1] - nearest[2]).otherwise(nearest[0]).alias("q"),
-            F.when(fix_r, -nearest[0] - nearest[2]).otherwise(nearest[1]).alias("r"),
-        ),
+    at = F.struct(
+        ((x * F.lit(math.sqrt(3.0) / 3.0) - y / F.lit(3.0)) / F.lit(edge_km)).alias("q"),
+        ((y * F.lit(2.0 / 3.0)) / F.lit(edge_km)).alias("r"),
     )
-
-
-def cell_text(axial: Column) -> Column:
-    return F.concat_ws(":", axial["q"], axial["r"])
+    return F.when(_col(lat).isNotNull() & _col(lon).isNotNull(), let(at, _round_axial))
 
 
 def hex_cell(lat, lon, *, edge_km=0.2, lat0=19.4) -> Column:
     """Cell id of a point as text ``q:r``; null without a point."""
     axial = hex_axial(lat, lon, edge_km=edge_km, lat0=lat0)
-    return F.when(axial.isNotNull(), cell_text(axial))
+    return let(axial, lambda a: F.when(a.isNotNull(), F.concat_ws(":", a["q"], a["r"])))
 
 
-def _parse(cell: Column):
-    q, r = F.split_part(cell, F.lit(":"), F.lit(1)), F.split_part(cell, F.lit(":"), F.lit(2))
-    return q.cast("bigint"), r.cast("bigint")
+def _parse(cell: Column) -> Column:
+    return F.struct(
+        F.split_part(cell, F.lit(":"), F.lit(1)).cast("bigint").alias("q"),
+        F.split_part(cell, F.lit(":"), F.lit(2)).cast("bigint").alias("r"),
+    )
 
 
 def k_ring(cell, k=1, *, offsets=None) -> Column:
     """Cells within ``k`` steps of a cell, the cell included."""
-    cell = _col(cell)
-    q, r = _parse(cell)
-    ring = F.array(
-        *[F.concat_ws(":", q + dq, r + dr) for dq, dr in (offsets or ring_offsets(k))]
-    )
-    return F.when(cell.isNotNull(), ring)
+    def ring(axial):
+        return F.array(*[
+            F.concat_ws(":", axial["q"] + dq, axial["r"] + dr)
+            for dq, dr in (offsets or ring_offsets(k))
+        ])
+
+    return let(_col(cell), lambda c: F.when(c.isNotNull(), let(_parse(c), ring)))
 
 
 def half_ring(cell, k=1) -> Column:

@@ -7,11 +7,9 @@
 ``gather``         lists and counts per row from matches between groups.
 """
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from terralist import constants as K
+from terralist.session import cut_lineage
 
 HOT_ROWS = 20_000
 PART_ROWS = 10_000
@@ -26,10 +24,6 @@ def group_key(*columns) -> Column:
     return F.md5(F.to_json(F.struct(*columns)))
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def hot_keys(df: DataFrame, keys, *, hot_rows=HOT_ROWS) -> DataFrame:
     """Keys with more than ``hot_rows`` rows and how many shards each needs.
 
@@ -77,9 +71,11 @@ def member_parts(rows: DataFrame, group, member, *, part_rows=PART_ROWS) -> Data
     )
 
 
-def match_counts(matches: DataFrame, *, center="center", size="n_rows") -> DataFrame:
-    """(center, n_matches): rows that a member of each center group matches."""
-    return matches.groupBy(center).agg(F.sum(size).alias("n_matches"))
+def match_counts(matches: DataFrame) -> DataFrame:
+    """(center, n_matches): rows that each member of a center group matches,
+    the member itself not counted."""
+    own = F.max(F.when(F.col("center") == F.col("neighbour"), 1).otherwise(0))
+    return matches.groupBy("center").agg((F.sum("n_rows") - own).alias("n_matches"))
 
 
 def match_lists(
@@ -101,11 +97,12 @@ def match_lists(
     parts = member_parts(
         rows.select(group, member), group, member, part_rows=part_rows
     ).withColumnsRenamed({group: "neighbour", "part": "_part"})
-    totals = match_counts(matches)
-    slots = F.ceil(F.col("n_matches") / part_rows).cast("int")
+    # Used twice, so the join behind it runs once.
+    matches = cut_lineage(matches)
+    slots = F.greatest(F.ceil(F.col("n_matches") / part_rows), F.lit(1)).cast("int")
     lists = (
         matches.select("center", "neighbour")
-        .join(totals, "center")
+        .join(match_counts(matches), "center")
         .join(parts, "neighbour")
         .withColumn("part", F.pmod(F.hash("neighbour", "_part"), slots))
         .groupBy("center", "part")

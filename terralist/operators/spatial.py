@@ -183,11 +183,8 @@ def duplicate_profiles(
 def count_potential_duplicates(df: DataFrame, *, id_col="id", **options) -> DataFrame:
     """(id, n_duplicates) for every row, without writing out a single pair."""
     rows = with_duplicate_profile(df, id_col=id_col)
-    matches = duplicate_profiles(rows, **options)
-    own = matches.filter("center = neighbour").select("center").withColumn("_self", F.lit(1))
-    counts = match_counts(matches).join(own, "center", "left").select(
-        F.col("center").alias("profile"),
-        (F.col("n_matches") - F.coalesce("_self", F.lit(0))).alias("_n"),
+    counts = match_counts(duplicate_profiles(rows, **options)).withColumnsRenamed(
+        {"center": "profile", "n_matches": "_n"}
     )
     return rows.select(id_col, "profile", "active").join(counts, "profile", "left").select(
         id_col,
@@ -296,6 +293,8 @@ def connected_labels(vertices: DataFrame, edges: DataFrame, *, max_rounds=64) ->
     rounds = []
     edges = edges.filter("src <> dst")
     for number in range(max_rounds):
+        if edges.isEmpty():
+            break
         both = edges.union(edges.select("dst", "src"))
         order = F.xxhash64(F.col("dst"), F.lit(number))
         own = F.xxhash64(F.col("src"), F.lit(number))
@@ -307,8 +306,6 @@ def connected_labels(vertices: DataFrame, edges: DataFrame, *, max_rounds=64) ->
                 .otherwise(F.col("m.dst")).alias("root"),
             )
         )
-        if merged.isEmpty():
-            break
         rounds.append(merged)
         edges = cut_lineage(
             edges.join(merged.select(F.col("vertex").alias("src"), F.col("root").alias("_s")), "src")
