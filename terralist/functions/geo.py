@@ -2,7 +2,7 @@
 
 import math
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from terralist import constants as K
 from terralist.functions.unicode import let
@@ -18,48 +18,48 @@ def ring_offsets(k: int):
     return [(q, r) for q in steps for r in steps if abs(q + r) <= k]
 
 
-def _round_axial(at: Column) -> Column:
-    """Nearest hexagon of fractional axial coordinates."""
-    def pick(near):
-        error = [F.abs(near[i] - v) for i, v in (("q", at["q"]), ("r", at["r"]), ("s", -at["q"] - at["r"]))]
-        # The coordinate with the largest rounding error follows from the others.
-        fix_q = (error[0] > error[1]) & (error[0] > error[2])
-        fix_r = ~fix_q & (error[1] > error[2])
-        return F.struct(
-            F.when(fix_q, -near["r"] - near["s"]).otherwise(near["q"]).alias("q"),
-            F.when(fix_r, -near["q"] - near["s"]).otherwise(near["r"]).alias("r"),
-        )
+def hex_steps(lat, lon, *, edge_km=0.2, lat0=19.4):
+    """Columns that lead from a point to its hexagon ``_q``, ``_r``, step by step.
 
-    def whole(value, name):
-        return F.floor(value + 0.5).cast("bigint").alias(name)
-
-    nearest = F.struct(whole(at["q"], "q"), whole(at["r"], "r"), whole(-at["q"] - at["r"], "s"))
-    return let(nearest, pick)
-
-
-def hex_axial(lat, lon, *, edge_km=0.2, lat0=19.4) -> Column:
-    """Struct(q, r) of the hexagon that holds a point; null without a point."""
+    Each step is a dictionary for ``withColumns`` on top of the one before, so
+    no intermediate value is computed twice and all of it is compiled code.
+    """
     degree_km = math.pi * K.EARTH_RADIUS_KM / 180.0
     x = _col(lon) * F.lit(degree_km * math.cos(math.radians(lat0)))
     y = _col(lat) * F.lit(degree_km)
-    at = F.struct(
-        ((x * F.lit(math.sqrt(3.0) / 3.0) - y / F.lit(3.0)) / F.lit(edge_km)).alias("q"),
-        ((y * F.lit(2.0 / 3.0)) / F.lit(edge_km)).alias("r"),
-    )
-    return F.when(_col(lat).isNotNull() & _col(lon).isNotNull(), let(at, _round_axial))
-
-
-def hex_cell(lat, lon, *, edge_km=0.2, lat0=19.4) -> Column:
-    """Cell id of a point as text ``q:r``; null without a point."""
-    axial = hex_axial(lat, lon, edge_km=edge_km, lat0=lat0)
-    return let(axial, lambda a: F.when(a.isNotNull(), F.concat_ws(":", a["q"], a["r"])))
-
-
-def _parse(cell: Column) -> Column:
-    return F.struct(
-        F.split_part(cell, F.lit(":"), F.lit(1)).cast("bigint").alias("q"),
-        F.split_part(cell, F.lit(":"), F.lit(2)).cast("bigint").alias("r"),
-    )
+    c = F.col
+    yield {
+        "_fq": (x * F.lit(math.sqrt(3.0) / 3.0) - y / F.lit(3.0)) / F.lit(edge_km),
+        "_fr": (y * F.lit(2.0 / 3.0)) / F.lit(edge_km),
+    }
+    yield {
+        "_nq": F.floor(c("_fq") + 0.5),
+        "_nr": F.floor(c("_fr") + 0.5),
+        "_ns": F.floor(-c("_fq") - c("_fr") + 0.5),
+    }
+    yield {
+        "_eq": F.abs(c("_nq") - c("_fq")),
+        "_er": F.abs(c("_nr") - c("_fr")),
+        "_es": F.abs(c("_ns") - (-c("_fq") - c("_fr"))),
+    }
+    # The coordinate with the largest rounding error follows from the others.
+    fix_q = (c("_eq") > c("_er")) & (c("_eq") > c("_es"))
+    fix_r = ~fix_q & (c("_er") > c("_es"))
+    yield {
+        "_q": F.when(fix_q, -c("_nr") - c("_ns")).otherwise(c("_nq")).cast("bigint"),
+        "_r": F.when(fix_r, -c("_nq") - c("_ns")).otherwise(c("_nr")).cast("bigint"),
+    }
+
+
+def cell_text(q, r) -> Column:
+    """Cell id ``q:r``; null without coordinates."""
+    q, r = _col(q), _col(r)
+    return F.when(q.isNotNull() & r.isNotNull(), F.concat_ws(":", q, r))
+
+
+def cell_axial(cell):
+    """The two axial coordinates of a cell id."""
+    return [F.split_part(_col(cell), F.lit(":"), F.lit(i)).cast("bigint") for i in (1, 2)]
 
 
 def k_ring(cell, k=1, *, offsets=None) -> Column:
@@ -70,12 +70,26 @@ def k_ring(cell, k=1, *, offsets=None) -> Column:
             for dq, dr in (offsets or ring_offsets(k))
         ])
 
-    return let(_col(cell), lambda c: F.when(c.isNotNull(), let(_parse(c), ring)))
+    q, r = cell_axial(cell)
+    axial = F.struct(q.alias("q"), r.alias("r"))
+    return F.when(_col(cell).isNotNull(), let(axial, ring))
 
 
-def half_ring(cell, k=1) -> Column:
-    """The ring without the origin and with one direction of each opposite pair.
+def half_offsets(k: int):
+    """One of each two opposite directions, without the origin: every unordered
+    pair of distinct neighbouring cells comes up exactly once."""
+    return [o for o in ring_offsets(k) if o > (0, 0)]
 
-    Every unordered pair of distinct neighbouring cells appears exactly once.
-    """
-    return k_ring(cell, k, offsets=[o for o in ring_offsets(k) if o > (0, 0)])
+
+def explode_ring(df: DataFrame, cell, output, *, offsets) -> DataFrame:
+    """One row per cell at the given offsets around a row's cell."""
+    q, r = cell_axial(cell)
+    around = F.array(*[
+        F.struct(F.lit(dq).alias("q"), F.lit(dr).alias("r")) for dq, dr in offsets
+    ])
+    kept = [c for c in df.columns if c != output]
+    return (
+        df.withColumns({"_q": q, "_r": r})
+        .select(*kept, "_q", "_r", F.explode(around).alias("_o"))
+        .select(*kept, cell_text(F.col("_q") + F.col("_o.q"), F.col("_r") + F.col("_o.r")).alias(output))
+    )

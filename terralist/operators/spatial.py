@@ -5,9 +5,12 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from terralist import constants as K
-from terralist.functions.geo import half_ring, hex_cell, k_ring
+from terralist.functions.geo import (
+    cell_text, explode_ring, half_offsets, hex_steps, k_ring, ring_offsets,
+)
 from terralist.functions.numbers import haversine_km, nan_to_null
 from terralist.operators.keys import dense_ids, number_rows
+from terralist.operators.shaping import with_computed
 from terralist.operators.skew import (
     HOT_ROWS, PART_ROWS, group_key, match_counts, match_lists, split_hot,
 )
@@ -50,6 +53,7 @@ def radius_candidates(
     *,
     radius_km,
     neighbour_key,
+    where=None,
     hot_rows=HOT_ROWS,
 ):
     """Join of centers and neighbours within ``radius_km``, inclusive.
@@ -57,13 +61,13 @@ def radius_candidates(
     Both sides carry ``lat`` and ``lon`` (neighbour columns under the prefix
     ``n_``).  Each neighbour sits in one (latitude band, longitude bin); a
     center looks in the three bands around it and in three bins of each.  So
-    this is a hash join on a grid key with an exact distance filter.  Grid
-    cells with many neighbours are split over shards.
+    this is an equi-join on a grid key with an exact distance filter.  Grid
+    cells with many neighbours are split over shards.  ``where`` is a cheap
+    condition on both sides to test before the distance.
     """
-    n_band = _band(F.col("n_lat"), radius_km)
-    right = (
-        neighbours.withColumn("_band", n_band)
-        .withColumn("_bin", _bin(F.col("n_lon"), _bins_in_band(F.col("_band"), radius_km)))
+    right = with_computed(neighbours, {"_band": _band(F.col("n_lat"), radius_km)})
+    right = with_computed(
+        right, {"_bin": _bin(F.col("n_lon"), _bins_in_band(F.col("_band"), radius_km))}
     )
     left = (
         centers.withColumn("_own", _band(F.col("lat"), radius_km))
@@ -84,7 +88,7 @@ def radius_candidates(
     near = haversine_km("lat", "lon", "n_lat", "n_lon") <= F.lit(float(radius_km))
     return (
         left.join(right, ["_band", "_bin", "_shard"])
-        .filter(near)
+        .filter(near if where is None else where & near)
         .drop("_band", "_bin", "_shard")
     )
 
@@ -173,8 +177,9 @@ def duplicate_profiles(
         *[F.col(a).alias(f"n_{a}") for a in attributes],
     )
     matched = radius_candidates(
-        centers, neighbours, radius_km=radius_km, neighbour_key="neighbour", hot_rows=hot_rows
-    ).filter(duplicate_rule(price_tolerance, area_tolerance))
+        centers, neighbours, radius_km=radius_km, neighbour_key="neighbour",
+        where=duplicate_rule(price_tolerance, area_tolerance), hot_rows=hot_rows,
+    )
     # A lone row does not match itself.
     lone = (F.col("center") == F.col("neighbour")) & (F.col("n_rows") == 1)
     return matched.filter(~lone).select("center", "neighbour", "n_rows")
@@ -228,7 +233,10 @@ def with_cell(
     df: DataFrame, *, lat="lat", lon="lon", output="cell", edge_km=0.2, lat0=19.4
 ) -> DataFrame:
     """Hexagonal cell of each point, null without a point."""
-    return df.withColumn(output, hex_cell(lat, lon, edge_km=edge_km, lat0=lat0))
+    columns = [c for c in df.columns if c != output]
+    for step in hex_steps(lat, lon, edge_km=edge_km, lat0=lat0):
+        df = df.withColumns(step)
+    return with_computed(df, {output: cell_text("_q", "_r")}).select(*columns, output)
 
 
 def with_ring(df: DataFrame, *, cell="cell", k=1, output="ring") -> DataFrame:
@@ -256,8 +264,8 @@ def neighbourhoods(cells: DataFrame, *, cell="cell", k=1, start_at=1) -> DataFra
     cell in its ring.  A cell therefore belongs to the lowest-numbered occupied
     cell in its own ring, which needs no loop.
     """
-    claims = cells.select(
-        F.explode(k_ring(cell, k)).alias(cell), F.col("block_id").alias("_owner")
+    claims = explode_ring(
+        cells.select(cell, F.col("block_id").alias("_owner")), cell, cell, offsets=ring_offsets(k)
     )
     owners = (
         claims.join(cells.select(cell), cell, "left_semi")
@@ -272,8 +280,8 @@ def neighbourhoods(cells: DataFrame, *, cell="cell", k=1, start_at=1) -> DataFra
 
 def cell_edges(cells: DataFrame, *, cell="cell", k=1) -> DataFrame:
     """(src, dst) by ``block_id``: each neighbouring pair of cells once."""
-    reach = cells.select(
-        F.col("block_id").alias("src"), F.explode(half_ring(cell, k)).alias(cell)
+    reach = explode_ring(
+        cells.select(cell, F.col("block_id").alias("src")), cell, cell, offsets=half_offsets(k)
     )
     return reach.join(
         cells.select(cell, F.col("block_id").alias("dst")), cell

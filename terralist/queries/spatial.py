@@ -5,7 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from terralist import constants as K
-from terralist.functions.geo import hex_cell, k_ring, ring_offsets
+from terralist.functions.geo import k_ring, ring_offsets
 from terralist.functions.numbers import area_flag, fill_zero, normalize_price, with_repaired_areas
 from terralist.operators import pairs as P, profile as A, spatial as S
 from terralist.queries.adapter import OLD, OLD_SQL, wave
@@ -100,9 +100,9 @@ def hex_cells(spark, folder):
 SELECT id, list_sort(list(CAST(q + dq AS VARCHAR) || ':' || CAST(r + dr AS VARCHAR)))::VARCHAR AS ring FROM cells, ring WHERE q IS NOT NULL GROUP BY id
 UNION ALL SELECT id, NULL FROM cells WHERE q IS NULL""")
 def hex_kring(spark, folder):
-    ring = F.array_sort(k_ring(hex_cell("lat", "lon"), 2))
+    ring = F.array_sort(k_ring("cell", 2))
     text = F.concat(F.lit("["), F.array_join(F.transform(ring, lambda c: F.concat(F.lit("'"), c, F.lit("'"))), ", "), F.lit("]"))
-    return wave(spark, folder, OLD).select("id", text.alias("ring"))
+    return with_cells(spark, folder).select("id", text.alias("ring"))
 
 
 def grouping_sql(edge):

@@ -15,6 +15,8 @@ def local_session(cores="*", app="terralist", shuffle_partitions=8, **conf):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # Small data: keep all threads busy rather than merge small partitions.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         # Recording the call site of every Column operation is slow.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -57,3 +59,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use the whole cluster for costly row-wise work on an input in few pieces.
+
+    A file that cannot be split is one task.  Inputs that already come in as
+    many pieces as there are cores, as any large table does, stay untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

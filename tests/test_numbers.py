@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 import pytest
 
 from terralist.functions import geo, numbers as N
+from terralist.operators.spatial import with_cell
 
 
 def one(spark, rows, schema, column):
@@ -75,10 +76,12 @@ def test_rings():
 
 def test_ring_columns(spark):
     df = spark.createDataFrame([("3:-2",), (None,)], "cell string")
-    ring, half, missing = df.select(geo.k_ring("cell"), geo.half_ring("cell")).first()[:2] + (
-        df.filter("cell is null").select(geo.k_ring("cell")).first()[0],)
-    assert len(set(ring)) == 7 and "3:-2" in ring
-    assert len(half) == 3 and "3:-2" not in half and missing is None
+    ring, missing = [r[0] for r in df.select(geo.k_ring("cell")).collect()]
+    assert len(set(ring)) == 7 and "3:-2" in ring and missing is None
+    exploded = geo.explode_ring(df.dropna(), "cell", "near", offsets=geo.ring_offsets(1))
+    assert sorted(r.near for r in exploded.collect()) == sorted(ring)
+    half = geo.half_offsets(1)
+    assert len(half) == 3 and not {(-q, -r) for q, r in half} & set(half)
 
 
 @settings(max_examples=5, deadline=None)
@@ -87,8 +90,8 @@ def test_cell_is_the_nearest_center(spark, points):
     """The chosen hexagon's center is nearer than the center of any neighbour."""
     edge, km = 0.2, math.pi * 6371.0 / 180.0
     df = spark.createDataFrame(points, "lat double, lon double")
-    for (lat, lon), row in zip(points, df.select(geo.hex_cell("lat", "lon")).collect()):
-        q, r = map(int, row[0].split(":"))
+    for (lat, lon), row in zip(points, with_cell(df).collect()):
+        q, r = map(int, row.cell.split(":"))
         x, y = lon * km * math.cos(math.radians(19.4)), lat * km
 
         def gap(q, r):
