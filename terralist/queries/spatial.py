@@ -163,12 +163,12 @@ def comparables(spark, folder):
     return found.withColumn("comparable_ids", F.to_json("comparable_ids"))
 
 
-@query("comparables_drilldown", f"""WITH {COMPARABLES_SQL}, chosen AS (SELECT min(id) AS id FROM found WHERE id >= 5000)
+@query("comparables_drilldown", f"""WITH {COMPARABLES_SQL}, chosen AS (SELECT min(id) AS id FROM found)
 SELECT id, property_type, no_bedrooms, asking_price FROM old_wave
 WHERE id IN (SELECT other FROM found WHERE id = (SELECT id FROM chosen) UNION SELECT id FROM chosen)""")
 def comparables_drilldown(spark, folder):
     rows = with_cells(spark, folder)
-    listing = P.count_comparables(rows).filter("n_comparables > 0 AND id >= 5000").agg(F.min("id")).first()[0]
+    listing = P.count_comparables(rows).filter("n_comparables > 0").agg(F.min("id")).first()[0]
     return P.comparables_of(rows, -1 if listing is None else listing).select(
         "id", "property_type", "no_bedrooms", "asking_price"
     )
