@@ -9,6 +9,7 @@ literals with an exponent keep both in double arithmetic.
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terralist.queries.registry import table
+from terralist.session import spread
 
 WAVES = ["2024-01-01", "2024-01-08"]
 OLD, NEW = WAVES
@@ -103,7 +104,8 @@ def portal_listings(spark: SparkSession, folder: str) -> DataFrame:
     """Raw listings of both waves; texts of the documents table become the
     descriptions of the listings with the same number."""
     columns = {**COLUMNS, **TEXT_COLUMNS}
-    rows = _waves(spark, folder).selectExpr(*[f"{e} AS {n}" for n, e in columns.items()])
+    # Cleaning these texts is costly row by row, so the input is spread first.
+    rows = spread(_waves(spark, folder)).selectExpr(*[f"{e} AS {n}" for n, e in columns.items()])
     documents = table(spark, folder, "documents").select(
         F.col("doc_id").alias("id"), F.col("text").alias("content")
     )
