@@ -15,8 +15,8 @@ def standardize_source(
     """One portal's raw rows: one per id, complete, of the right operation and
     above the price floor, in the common columns and tagged with the source."""
     columns = columns or K.RAW_COLUMNS
-    # The filters come before the de-duplication in the plan only where they
-    # depend on nothing it decides, so the order here is the order applied.
+    # One row per id first: a repeat that fails a filter must not make way for
+    # another one.
     if "id" in df.columns:
         df = df.withColumn("id", F.col("id").cast("string"))
         df = one_per_key(df, "id", order_by=order_by)

@@ -1,7 +1,6 @@
 import math
 
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 import pytest
 
 from terralist.functions import geo, numbers as N
