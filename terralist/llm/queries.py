@@ -1,6 +1,9 @@
 """The registered queries: thin forms of the operators over the given tables."""
 
-from terralist.llm import quality as op9
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from terralist.llm import byte_bpe as op2, quality as op9
 
 QUERIES = {}
 ORACLES = {}
@@ -26,3 +29,14 @@ def quality_rules(spark, folder):
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
     )
+
+
+@query("op2_byte_bpe")
+def byte_bpe(spark, folder):
+    ranks = op2.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoded = op2.encode(table(spark, folder, "documents", "doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    decoded = op2.decode(encoded.select("doc_id", "n_tokens", "ids"), ranks)
+    return decoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
