@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from terralist.llm import byte_bpe as op2, quality as op9
+from terralist.llm import byte_bpe as op2, piece_count as op10, quality as op9
 
 QUERIES = {}
 ORACLES = {}
@@ -40,3 +40,11 @@ def byte_bpe(spark, folder):
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op10_piece_counts")
+def piece_counts(spark, folder):
+    model = op10.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, folder, "documents", "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    counted = op10.count_tokens(docs.withColumn("n_bytes", F.octet_length("text").cast("long")), model)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
