@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from terralist.llm import byte_bpe as op2, piece_count as op10, quality as op9
+from terralist.llm import byte_bpe as op2, maxscore as op8, piece_count as op10, quality as op9
 
 QUERIES = {}
 ORACLES = {}
@@ -48,3 +48,9 @@ def piece_counts(spark, folder):
     docs = table(spark, folder, "documents", "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     counted = op10.count_tokens(docs.withColumn("n_bytes", F.octet_length("text").cast("long")), model)
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+@query("op8_maxscore", op8.top_k_sql())
+def maxscore(spark, folder):
+    vectors = op8.whole_vectors(table(spark, folder, "embeddings", "vec_id", "embedding"))
+    return op8.top_k(vectors, F.col("id") % 20 == 0, k=20).select("query_id", "rank", "vec_id", "score")
