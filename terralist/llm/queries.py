@@ -3,7 +3,10 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from terralist.llm import byte_bpe as op2, maxscore as op8, piece_count as op10, quality as op9
+from terralist.llm import (
+    byte_bpe as op2, maxscore as op8, mixing as op4, piece_count as op10, quality as op9,
+)
+from terralist.llm.words import word_count
 
 QUERIES = {}
 ORACLES = {}
@@ -54,3 +57,9 @@ def piece_counts(spark, folder):
 def maxscore(spark, folder):
     vectors = op8.whole_vectors(table(spark, folder, "embeddings", "vec_id", "embedding"))
     return op8.top_k(vectors, F.col("id") % 20 == 0, k=20).select("query_id", "rank", "vec_id", "score")
+
+
+@query("op4_mixing", op4.mix_sql())
+def mixing(spark, folder):
+    sized = table(spark, folder, "documents", "doc_id", "source", word_count(F.col("text")).alias("size"))
+    return op4.mix(sized).select("doc_id", "size", "source_size", "target", "taken")
