@@ -44,6 +44,11 @@ def parsed(data):
     return ranks
 
 
+@lru_cache(maxsize=2)
+def packed_ids(data):
+    return {token: rank.to_bytes(4, "little") for token, rank in parsed(data).items()}
+
+
 class Encoder(dict):
     """Piece -> packed ids; missing pieces run through the transducer."""
 
@@ -53,7 +58,7 @@ class Encoder(dict):
         self.ranks = parsed(data)
         self.split = regex.compile(pattern).findall
         self.cached, self.older = cached, {}
-        self.machine = Transducer(self.ranks, lambda t: self.ranks[t].to_bytes(4, "little"), b"")
+        self.machine = Transducer(self.ranks, packed_ids(data).__getitem__, b"")
 
     def __missing__(self, piece):
         # Two generations: what is still in use moves on, the rest goes.

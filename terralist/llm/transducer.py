@@ -33,10 +33,12 @@ def joined(ranks, tokens, until=1):
 
 
 class State:
-    __slots__ = ("done", "lengths", "next", "pending", "prev", "tail")
+    """``lengths``: of the last token at each pending position; ``live``: where a longer token may start."""
 
-    def __init__(self, prev, pending, lengths):
-        self.prev, self.pending, self.lengths = prev, pending, lengths
+    __slots__ = ("lengths", "live", "next", "pending", "prev", "tail")
+
+    def __init__(self, prev, pending, lengths, live):
+        self.prev, self.pending, self.lengths, self.live = prev, pending, lengths, live
         self.next, self.tail = {}, None
 
 
@@ -47,23 +49,25 @@ class Transducer:
     they are counts.
     """
 
-    def __init__(self, ranks, value, zero, max_states=300_000, max_pairs=1_000_000):
+    def __init__(self, ranks, value, zero, max_states=150_000, max_pairs=1_000_000):
         self.ranks, self.value, self.zero = ranks, value, zero
         self.prefixes = {t[:i] for t in ranks for i in range(1, len(t))}
         self.max_states, self.max_pairs = max_states, max_pairs
         self.pairs, self.edges = {}, {}
         self.nothing = next(iter(ranks))[:0]
+        # Going through bytes gives numbers; these are their symbols.
+        self.single = [bytes((b,)) for b in range(256)] if self.nothing == b"" else None
         self.reset()
 
     def reset(self):
         self.states = {}
-        self.start = self.state(None, self.nothing, ())
+        self.start = self.state(None, self.nothing, (), ())
 
-    def state(self, prev, pending, lengths):
+    def state(self, prev, pending, lengths, live):
         key = (prev, pending)
         found = self.states.get(key)
         if found is None:
-            found = self.states[key] = State(prev, pending, lengths)
+            found = self.states[key] = State(prev, pending, lengths, live)
         return found
 
     def symbols(self, text):
@@ -122,11 +126,13 @@ class Transducer:
             self.pairs[left, right] = known
         return known
 
-    def step(self, state, symbol):
+    def step(self, state, key):
         """The transition on a symbol: (next state, value emitted)."""
+        symbol = key if self.single is None else self.single[key]
         text, lengths, ranks = state.pending + symbol, state.lengths, self.ranks
         n = len(text)
-        for start in range(n):
+        starts = (*state.live, n - 1)
+        for start in starts:
             token = text[start:]
             if token in ranks and self.edge(token):
                 left = state.prev if start == 0 else text[start - lengths[start - 1]:start]
@@ -135,23 +141,25 @@ class Transducer:
         else:
             start = n - 1
         lengths = (*lengths, n - start)
-        # Positions a token may start from, and the last position all their encodings share.
-        shared, prefixes = n, self.prefixes
-        for other in range(n - 1, -1, -1):
-            if text[other:] in prefixes:
-                while shared != other:
-                    if shared > other:
-                        shared -= lengths[shared - 1]
-                    else:
-                        other -= lengths[other - 1]
-                if not shared:
-                    break
-        if not shared:
-            step = self.state(state.prev, text, lengths), self.zero
-        else:
+        prefixes = self.prefixes
+        live = [q for q in starts if text[q:] in prefixes]
+        # The last position that the encodings of all live positions and of the end share.
+        shared = n
+        for other in live:
+            while shared != other:
+                if shared > other:
+                    shared -= lengths[shared - 1]
+                else:
+                    other -= lengths[other - 1]
+            if not shared:
+                break
+        if shared:
             tokens = self.path(text, lengths, shared)
-            step = self.state(tokens[-1], text[shared:], lengths[shared:]), self.total(tokens)
-        state.next[symbol] = step
+            live = [q - shared for q in live]
+            step = self.state(tokens[-1], text[shared:], lengths[shared:], live), self.total(tokens)
+        else:
+            step = self.state(state.prev, text, lengths, live), self.zero
+        state.next[key] = step
         return step
 
     @staticmethod
@@ -172,17 +180,17 @@ class Transducer:
     def advance(self, state, text):
         """Read ``text`` from ``state``: (state reached, value emitted)."""
         if len(self.states) > self.max_states:
-            keep = state.prev, state.pending, state.lengths
+            keep = state.prev, state.pending, state.lengths, state.live
             self.reset()
             state = self.state(*keep)
         total = self.zero
-        for i in range(len(text)):
-            symbol = text[i:i + 1]
+        for symbol in text:
             got = state.next.get(symbol)
             if got is None:
                 got = self.step(state, symbol)
             state = got[0]
-            total += got[1]
+            if got[1]:
+                total += got[1]
         return state, total
 
     def finish(self, state):
