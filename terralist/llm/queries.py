@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from terralist.llm import (
-    byte_bpe as op2, maxscore as op8, mixing as op4, piece_count as op10, quality as op9,
+    byte_bpe as op2, maxscore as op8, mixing as op4, piece_count as op10, quality as op9, warc as op3,
 )
 from terralist.llm.words import word_count
 
@@ -63,3 +63,13 @@ def maxscore(spark, folder):
 def mixing(spark, folder):
     sized = table(spark, folder, "documents", "doc_id", "source", word_count(F.col("text")).alias("size"))
     return op4.mix(sized).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op3_warc")
+def warc(spark, folder):
+    manifest = op3.write_archives(table(spark, folder, "pages", "page_id", "url", "html"))
+    records = op3.read_archives(manifest, payload=False).filter("kind = 'record'")
+    return records.select(
+        F.expr("try_cast(record_id AS bigint)").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.expr("try_cast(refers_to AS bigint)").alias("refers_to"),
+    )
