@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from terralist.llm import (
-    byte_bpe as op2, langid as op7, maxscore as op8, mixing as op4, piece_count as op10, quality as op9, warc as op3,
+    byte_bpe as op2, jaccard as op1, langid as op7, maxscore as op8, mixing as op4, piece_count as op10, quality as op9, warc as op3,
 )
 from terralist.llm.words import word_count
 
@@ -80,3 +80,8 @@ def language_id(spark, folder):
     docs = table(spark, folder, "documents", "doc_id", "text", "lang").withColumn("held_out", op7.fold("doc_id", 3) == 1)
     models = op7.fit(docs.filter(~F.col("held_out")))
     return op7.identify(docs, models).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op1_ngram_jaccard")
+def ngram_jaccard(spark, folder):
+    return op1.near_duplicates(table(spark, folder, "documents", "doc_id", "text"))
