@@ -13,8 +13,8 @@ pending symbols after it.  On a symbol, the machine finds the last token at the
 new position, looks which pending positions a longer token could still start
 from, and emits the tokens that all of their encodings share.  No pending part
 outgrows the longest token by more than one token, which bounds the lookahead.
-States and transitions are made when first met and kept in a table of bounded
-size; dropping the table costs time, never a result.
+States and transitions are made when met and kept in a table of bounded size;
+dropping the table costs time, never a result.
 
 Symbols are bytes (``bytes`` vocabularies) or characters (``str`` ones).  A
 symbol that is no token stands for itself and joins nothing.
@@ -49,9 +49,13 @@ class Transducer:
     they are counts.
     """
 
-    def __init__(self, ranks, value, zero, max_states=150_000, max_pairs=1_000_000):
+    def __init__(self, ranks, value, zero, max_states=200_000, max_pairs=400_000):
         self.ranks, self.value, self.zero = ranks, value, zero
-        self.prefixes = {t[:i] for t in ranks for i in range(1, len(t))}
+        # 1: a token, 2: the beginning of a longer one, 3: both.
+        self.kinds = dict.fromkeys(ranks, 1)
+        for t in ranks:
+            for i in range(1, len(t)):
+                self.kinds[t[:i]] = self.kinds.get(t[:i], 0) | 2
         self.max_states, self.max_pairs = max_states, max_pairs
         self.pairs, self.edges = {}, {}
         self.nothing = next(iter(ranks))[:0]
@@ -126,23 +130,37 @@ class Transducer:
             self.pairs[left, right] = known
         return known
 
+    def place(self, text, n, starts, lengths, prev):
+        """Add the last token of ``text[:n]`` to ``lengths``; returns where a longer one may start.
+
+        Tokens ending there begin at one of ``starts``, which go up.
+        """
+        kinds, edges, pairs = self.kinds, self.edges, self.pairs
+        live, found = [], 0
+        for start in starts:
+            token = text[start:n]
+            kind = kinds.get(token)
+            if kind is None:
+                continue
+            if not found and kind & 1 and (edges.get(token) or self.edge(token)):
+                left = prev if start == 0 else text[start - lengths[start - 1]:start]
+                if left is None:
+                    found = n - start
+                else:
+                    fit = pairs.get((left, token))
+                    if fit or fit is None and self.fits(left, token):
+                        found = n - start
+            if kind & 2:
+                live.append(start)
+        lengths.append(found or 1)
+        return live
+
     def step(self, state, key):
         """The transition on a symbol: (next state, value emitted)."""
         symbol = key if self.single is None else self.single[key]
-        text, lengths, ranks = state.pending + symbol, state.lengths, self.ranks
+        text, lengths = state.pending + symbol, list(state.lengths)
         n = len(text)
-        starts = (*state.live, n - 1)
-        for start in starts:
-            token = text[start:]
-            if token in ranks and self.edge(token):
-                left = state.prev if start == 0 else text[start - lengths[start - 1]:start]
-                if left is None or self.fits(left, token):
-                    break
-        else:
-            start = n - 1
-        lengths = (*lengths, n - start)
-        prefixes = self.prefixes
-        live = [q for q in starts if text[q:] in prefixes]
+        live = self.place(text, n, [*state.live, n - 1], lengths, state.prev)
         # The last position that the encodings of all live positions and of the end share.
         shared = n
         for other in live:
@@ -162,6 +180,13 @@ class Transducer:
         state.next[key] = step
         return step
 
+    def ahead(self, state, rest):
+        """Value of ``rest`` read from ``state`` up to the end, without making states."""
+        text, lengths, live = state.pending + rest, list(state.lengths), state.live
+        for n in range(len(lengths) + 1, len(text) + 1):
+            live = self.place(text, n, [*live, n - 1], lengths, state.prev)
+        return self.total(self.path(text, lengths, len(text)))
+
     @staticmethod
     def path(text, lengths, end):
         tokens = []
@@ -200,5 +225,24 @@ class Transducer:
         return state.tail
 
     def run(self, text):
-        state, total = self.advance(self.start, text)
+        """Value of a whole input.
+
+        A short input makes one new state at most and is finished without, so
+        that the table fills with what many inputs have in common.
+        """
+        if len(text) > 64:
+            state, total = self.advance(self.start, text)
+            return total + self.finish(state)
+        if len(self.states) > self.max_states:
+            self.reset()
+        state, total, i = self.start, self.zero, 0
+        for symbol in text:
+            i += 1
+            got = state.next.get(symbol)
+            if got is None:
+                state, more = self.step(state, symbol)
+                return total + more + (self.ahead(state, text[i:]) if i < len(text) else self.finish(state))
+            state = got[0]
+            if got[1]:
+                total += got[1]
         return total + self.finish(state)
