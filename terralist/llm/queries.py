@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from terralist.llm import (
-    byte_bpe as op2, jaccard as op1, langid as op7, maxscore as op8, mixing as op4, piece_count as op10, quality as op9, warc as op3,
+    byte_bpe as op2, jaccard as op1, langid as op7, maxscore as op8, mixing as op4, piece_count as op10, quality as op9, suffix_dedup as op5, warc as op3,
 )
 from terralist.llm.words import word_count
 
@@ -85,3 +85,13 @@ def language_id(spark, folder):
 @query("op1_ngram_jaccard")
 def ngram_jaccard(spark, folder):
     return op1.near_duplicates(table(spark, folder, "documents", "doc_id", "text"))
+
+
+@query("op5_suffix_dedup")
+def suffix_dedup(spark, folder):
+    done = op5.remove_repeats(table(spark, folder, "documents", "doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return done.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
