@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from terralist.llm import (
-    byte_bpe as op2, jaccard as op1, langid as op7, maxscore as op8, mixing as op4, piece_count as op10, quality as op9, suffix_dedup as op5, warc as op3,
+    byte_bpe as op2, jaccard as op1, langid as op7, maxscore as op8, mixing as op4, piece_count as op10, quality as op9, recurrent_lm as op6, suffix_dedup as op5, warc as op3,
 )
 from terralist.llm.words import word_count
 
@@ -95,3 +95,11 @@ def suffix_dedup(spark, folder):
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op6_recurrent_lm")
+def recurrent_lm(spark, folder):
+    docs = table(spark, folder, "documents", "doc_id", "text").withColumn("held_out", op7.fold("doc_id", 10) == 0)
+    return op6.score_documents(docs, ~F.col("held_out")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score",
+    )
