@@ -369,8 +369,11 @@ def repeated_spans(docs, length=LENGTH, gram=GRAM, block=BLOCK_CONTEXTS):
     )
 
 
-def remove_repeats(docs, key="doc_id", text="text", length=LENGTH, gram=GRAM, block=BLOCK_CONTEXTS):
-    """``docs`` with ``n_bytes``, ``spans`` removed (start, end) and the bytes ``kept``."""
+def remove_repeats(docs, key="doc_id", text="text", length=LENGTH, gram=GRAM, block=BLOCK_CONTEXTS, characters=False):
+    """``docs`` with the bytes ``kept`` in place of the text, ``n_bytes`` and ``spans`` removed (start, end).
+
+    With ``characters``, spans shrink to whole characters, so ``kept`` is text.
+    """
     added = ("n_bytes", "spans", "kept")
     docs = docs.select([c for c in docs.columns if c not in added])
     named = docs.withColumns({
@@ -395,6 +398,13 @@ def remove_repeats(docs, key="doc_id", text="text", length=LENGTH, gram=GRAM, bl
                 new = np.append(True, start[1:] > end[:-1])
                 begins = np.flatnonzero(new)
                 for a, b in zip(start[begins].tolist(), end[np.append(begins[1:] - 1, len(end) - 1)].tolist(), strict=True):
+                    if characters:
+                        while a < b and raw[a] & 0xC0 == 0x80:
+                            a += 1
+                        while b > a and b < len(raw) and raw[b] & 0xC0 == 0x80:
+                            b -= 1
+                        if a == b:
+                            continue
                     parts.append(raw[at:a])
                     merged.append({"start": a, "end": b})
                     at = b
