@@ -1,11 +1,35 @@
 """Arrow batches in tasks: add columns row-wise, with bounded pieces."""
 
+from functools import wraps
+
 import pyarrow as pa
 from pyspark.sql import types as T
 
 PIECE_BYTES = 8 << 20
 
 
+def sheltered(*internal):
+    """For an operator on a table: columns that bear its internal names pass through renamed."""
+    def wrap(operator):
+        @wraps(operator)
+        def run(docs, *args, **kwargs):
+            names, away = set(docs.columns) | set(internal), {}
+            for c in docs.columns:
+                if c in internal:
+                    other = c
+                    while other in names:
+                        other = f"_{other}"
+                    names.add(other)
+                    away[c] = other
+            if not away:
+                return operator(docs, *args, **kwargs)
+            return operator(docs.withColumnsRenamed(away), *args, **kwargs).withColumnsRenamed({v: k for k, v in away.items()})
+
+        return run
+
+    return wrap
+
+
 def pieces(batch, limit=PIECE_BYTES):
     """Slices of a record batch of about ``limit`` bytes each, one row at least."""
     rows = batch.num_rows

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Window, functions as F, types as T
 
+from terralist.llm.batches import sheltered
 from terralist.operators.keys import number_rows
 from terralist.session import cut_lineage
 
@@ -103,6 +104,7 @@ def source_targets(sizes, source="source", size="source_size", weights=WEIGHTS,
     )
 
 
+@sheltered("_key", "_before", "_before_local", "_before_part", "_part", "_group", "_source", "_budget", "_whole", "weight", "whole_epochs")
 def mix(docs, size="size", source="source", key="doc_id", weights=WEIGHTS, epochs=EPOCHS, seed=SEED):
     """``docs`` with ``source_size``, ``target`` and ``taken``; sums are exact."""
     added = ("source_size", "target", "taken")

@@ -24,7 +24,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
-from terralist.llm.batches import map_batches, pieces
+from terralist.llm.batches import map_batches, sheltered
 from terralist.llm.transducer import Transducer
 
 CHUNK = 1 << 16
@@ -180,6 +180,7 @@ def _count_long(docs, model, text, output, long, chunk):
     return keyed.drop(output).join(counts, "_key").drop("_key")
 
 
+@sheltered("_key", "_text")
 def count_tokens(docs, model, text="text", output="n_tokens", long=LONG, chunk=CHUNK):
     """``docs`` with the number of tokens of each text."""
     def batch(columns):

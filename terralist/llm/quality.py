@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
+from terralist.llm.batches import sheltered
 from terralist.llm.words import SPACE, word_array
 
 #: Frequent words of English, German, French and Spanish.
@@ -97,6 +98,7 @@ def covered_words(starts):
     return F.aggregate(steps, F.lit(0).cast("long"), lambda a, b: a + b)
 
 
+@sheltered("_words", "_lines", "_hashes", "_starts")
 def measures(docs, text="text"):
     """``docs`` with the columns that the rules compare, added in a few projections."""
     raw = F.coalesce(F.col(text), F.lit(""))

@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
-from terralist.llm.batches import map_batches, pieces
+from terralist.llm.batches import map_batches, pieces, sheltered
 from terralist.session import cut_lineage
 
 LENGTH = 100
@@ -369,6 +369,7 @@ def repeated_spans(docs, length=LENGTH, gram=GRAM, block=BLOCK_CONTEXTS):
     )
 
 
+@sheltered("_doc", "_own", "_text", "_packed", "_spans", "doc", "own")
 def remove_repeats(docs, key="doc_id", text="text", length=LENGTH, gram=GRAM, block=BLOCK_CONTEXTS, characters=False):
     """``docs`` with the bytes ``kept`` in place of the text, ``n_bytes`` and ``spans`` removed (start, end).
 
