@@ -139,8 +139,9 @@ def top_k(df: DataFrame, score, k, *, tie) -> DataFrame:
 
 
 def random_key(df: DataFrame, key, *, seed=0) -> DataFrame:
-    """One distinct key picked by a seeded hash, the same on every run."""
-    return df.select(key).distinct().orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(1)
+    """One distinct key picked by a seeded hash, the same on every run and in other engines."""
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    return df.filter(F.col(key).isNotNull()).orderBy(order, key).select(key).limit(1)
 
 
 def union_relaxed(*frames: DataFrame) -> DataFrame:

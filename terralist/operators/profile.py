@@ -169,11 +169,26 @@ def histogram(
     )
 
 
-def share_at_least(df: DataFrame, threshold, column="score", *, weight=None) -> DataFrame:
-    """One row: percent of rows (or weights) with the column at the threshold."""
+def share_at_least(df: DataFrame, threshold, column="score", *, weight=None, total=None) -> DataFrame:
+    """One row: percent of rows (or weights) with the column at the threshold.
+
+    ``total`` is a one-row table with the size of the whole where ``df`` holds
+    only a part of it.
+    """
     size = F.lit(1) if weight is None else F.col(weight)
     hit = F.sum(F.when(F.col(column) >= threshold, size).otherwise(0))
-    return df.agg((F.try_divide(hit, F.sum(size)) * 100).alias("pct"))
+    if total is None:
+        return df.agg((F.try_divide(hit, F.sum(size)) * 100).alias("pct"))
+    whole = total.toDF("_total")
+    return df.agg(F.coalesce(hit, F.lit(0)).alias("_hit")).crossJoin(F.broadcast(whole)).select(
+        (F.try_divide("_hit", "_total") * 100).alias("pct"))
+
+
+def with_rest(bins: DataFrame, total: DataFrame, lowest: float) -> DataFrame:
+    """Histogram bins and, as bin -1, what of the total lies under them."""
+    rest = bins.agg(F.min("lower").alias("upper"), F.sum("count").alias("_seen")).crossJoin(F.broadcast(total.toDF("_total")))
+    return bins.unionByName(rest.select(
+        F.lit(-1).alias("bin"), F.lit(float(lowest)).alias("lower"), "upper", (F.col("_total") - F.col("_seen")).cast("bigint").alias("count")))
 
 
 def binned_trend(

@@ -299,9 +299,9 @@ def connected_labels(vertices: DataFrame, edges: DataFrame, *, max_rounds=64) ->
     the rounds are composed backwards, from the smallest to the largest.
     """
     rounds = []
-    edges = edges.filter("src <> dst")
+    edges, left = cut_lineage(edges.filter("src <> dst").select("src", "dst"), count=True)
     for number in range(max_rounds):
-        if edges.isEmpty():
+        if not left:
             break
         both = edges.union(edges.select("dst", "src"))
         order = F.xxhash64(F.col("dst"), F.lit(number))
@@ -315,12 +315,13 @@ def connected_labels(vertices: DataFrame, edges: DataFrame, *, max_rounds=64) ->
             )
         )
         rounds.append(merged)
-        edges = cut_lineage(
+        edges, left = cut_lineage(
             edges.join(merged.select(F.col("vertex").alias("src"), F.col("root").alias("_s")), "src")
             .join(merged.select(F.col("vertex").alias("dst"), F.col("root").alias("_d")), "dst")
             .filter("_s <> _d")
             .select(F.least("_s", "_d").alias("src"), F.greatest("_s", "_d").alias("dst"))
-            .distinct()
+            .distinct(),
+            count=True,
         )
     else:
         raise RuntimeError("components did not settle")

@@ -21,6 +21,14 @@ IN_WAVE = (
     f"(wave = '{NEW}' AND o_orderpriority <> '1-URGENT')"
 )
 
+# Customers whose orders are all the same listing at one place, posted again and again.
+PILE = "o_custkey % 40 = 0"
+
+
+def _piled(copies: str, others: str) -> str:
+    return f"CASE WHEN {PILE} THEN {copies} ELSE {others} END"
+
+
 COLUMNS = {
     "wave": "wave",
     "id": "o_orderkey",
@@ -31,21 +39,21 @@ COLUMNS = {
     "property_type": """CASE o_custkey % 8 WHEN 0 THEN 'Casa' WHEN 1 THEN 'Departamento'
         WHEN 2 THEN 'Casa en condominio' WHEN 3 THEN 'Desarrollo' WHEN 4 THEN 'Quinta'
         WHEN 5 THEN 'Loft' WHEN 6 THEN 'Lote / Terreno' ELSE 'Oficina' END""",
-    "currency": "CASE o_orderkey % 5 WHEN 0 THEN 'USD' WHEN 1 THEN 'MXP' ELSE 'MXN' END",
-    "asking_price": f"""o_totalprice * CASE WHEN o_orderkey % 5 = 0 THEN 1e0 ELSE 2e1 END
-        * CASE WHEN wave = '{NEW}' AND o_orderkey % 7 = 0 THEN 1.05e0 ELSE 1e0 END""",
-    "lat": """CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE 1.93e1
-        + CAST((o_custkey * 7919 + (o_orderkey % 7) * 13) % 20000 AS DOUBLE) / 1e5 END""",
-    "lon": """CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE -9.925e1
-        + CAST((o_custkey * 104729 + (o_orderkey % 11) * 37) % 20011 AS DOUBLE) / 1e5 END""",
-    "m2_built": """CASE WHEN o_orderkey % 11 = 0 THEN NULL
-        ELSE CAST(40 + o_custkey % 160 AS DOUBLE) END""",
-    "m2_terrain": """CASE WHEN o_orderkey % 6 = 0 THEN NULL
-        ELSE CAST(60 + (o_orderkey + o_custkey) % 200 AS DOUBLE) END""",
-    "no_bedrooms": f"""CASE WHEN wave = '{NEW}' AND o_orderkey % 13 = 0 THEN NULL
-        ELSE CAST(1 + o_orderkey % 4 AS DOUBLE) END""",
-    "no_full_bathrooms": """CASE WHEN o_orderkey % 17 = 0 THEN NULL
-        ELSE CAST(1 + o_custkey % 3 AS DOUBLE) END""",
+    "currency": _piled("'MXN'", "CASE o_orderkey % 5 WHEN 0 THEN 'USD' WHEN 1 THEN 'MXP' ELSE 'MXN' END"),
+    "asking_price": _piled("1e6 + CAST(o_custkey AS DOUBLE) * 1e3", f"""o_totalprice * CASE WHEN o_orderkey % 5 = 0 THEN 1e0 ELSE 2e1 END
+        * CASE WHEN wave = '{NEW}' AND o_orderkey % 7 = 0 THEN 1.05e0 ELSE 1e0 END"""),
+    "lat": _piled("1.93e1 + CAST((o_custkey * 7919) % 20000 AS DOUBLE) / 1e5", """CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE 1.93e1
+        + CAST((o_custkey * 7919 + (o_orderkey % 7) * 13) % 20000 AS DOUBLE) / 1e5 END"""),
+    "lon": _piled("-9.925e1 + CAST((o_custkey * 104729) % 20011 AS DOUBLE) / 1e5", """CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE -9.925e1
+        + CAST((o_custkey * 104729 + (o_orderkey % 11) * 37) % 20011 AS DOUBLE) / 1e5 END"""),
+    "m2_built": _piled("CAST(40 + o_custkey % 160 AS DOUBLE)", """CASE WHEN o_orderkey % 11 = 0 THEN NULL
+        ELSE CAST(40 + o_custkey % 160 AS DOUBLE) END"""),
+    "m2_terrain": _piled("CAST(60 + o_custkey % 200 AS DOUBLE)", """CASE WHEN o_orderkey % 6 = 0 THEN NULL
+        ELSE CAST(60 + (o_orderkey + o_custkey) % 200 AS DOUBLE) END"""),
+    "no_bedrooms": _piled("CAST(1 + o_custkey % 4 AS DOUBLE)", f"""CASE WHEN wave = '{NEW}' AND o_orderkey % 13 = 0 THEN NULL
+        ELSE CAST(1 + o_orderkey % 4 AS DOUBLE) END"""),
+    "no_full_bathrooms": _piled("CAST(1 + o_custkey % 3 AS DOUBLE)", """CASE WHEN o_orderkey % 17 = 0 THEN NULL
+        ELSE CAST(1 + o_custkey % 3 AS DOUBLE) END"""),
     "year_built": "CAST(1990 + o_custkey % 37 AS DOUBLE)",
     "id_dev": "CASE WHEN o_orderkey % 19 = 0 THEN CONCAT('dev-', CAST(o_custkey % 5 AS STRING)) END",
     "is_development": "o_custkey % 8 = 3",

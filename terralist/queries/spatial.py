@@ -174,14 +174,17 @@ def comparables_drilldown(spark, folder):
     )
 
 
-@query("comparables_random")
+@query("comparables_random", f"""WITH {COMPARABLES_SQL}, chosen AS (SELECT id FROM found ORDER BY md5('7:' || CAST(id AS VARCHAR)), id LIMIT 1)
+SELECT id, property_type FROM old_wave
+WHERE id IN (SELECT other FROM found WHERE id = (SELECT id FROM chosen) UNION SELECT id FROM chosen)""")
 def comparables_random(spark, folder):
-    """A seeded draw has no SQL counterpart."""
     return P.comparables_of(with_cells(spark, folder), seed=7).select("id", "property_type")
 
 
 # --- pair scores ---------------------------------------------------------------------------
 
+HIGH = 0.9  # the tuning threshold; statistics below are over all pairs
+
 SCORED_COLUMNS = ["id", "lat", "lon", "property_type", "is_development", "no_bedrooms",
                   "no_full_bathrooms", "m2_built", "m2_terrain", "price_mxn", "m2_flags"]
 
@@ -236,7 +239,7 @@ final AS (SELECT *, (2e0 * s_m2built + 1e0 * s_m2terrain + 2e0 * s_price) / 5e0
 
 @query("pair_scores_comparables", f"WITH {COMPARABLE_SCORES_SQL} SELECT * FROM final WHERE score >= 9e-1")
 def pair_scores_comparables(spark, folder):
-    return P.score_comparables(scored_rows(spark, folder))
+    return P.score_comparables(scored_rows(spark, folder), min_score=HIGH)
 
 
 NEIGH_SCORES_SQL = f"""{reach_sql(0.2)}, {SCORED_ROWS_SQL},
@@ -262,7 +265,7 @@ m2_flags_right, n_pairs, s_m2built, s_m2terrain, s_price, s_no_bedrooms, s_no_fu
 @query("pair_scores_neigh", f"WITH RECURSIVE {NEIGH_SCORES_SQL} SELECT {NEIGH_COLUMNS} FROM near WHERE score >= 9e-1")
 def pair_scores_neigh(spark, folder):
     return P.score_neighbourhood(
-        grouped_rows(spark, folder), carry=["component_id", "cell", "m2_flags"]
+        grouped_rows(spark, folder), carry=["component_id", "cell", "m2_flags"], min_score=HIGH
     )
 
 
@@ -270,37 +273,43 @@ def pair_scores_neigh(spark, folder):
 SELECT component_id, id_left, id_right, cell_left, cell_right, n_pairs, s_m2built, s_m2terrain, s_price,
   r_beds AS s_no_bedrooms, r_baths AS s_no_full_bathrooms, s_near AS s_neigh, s_block, score FROM wide WHERE score >= 9e-1""")
 def pair_scores_component(spark, folder):
-    return P.score_component(grouped_rows(spark, folder), carry=["cell"])
+    return P.score_component(grouped_rows(spark, folder), carry=["cell"], min_score=HIGH)
 
 
 # --- tuning -----------------------------------------------------------------------------------
 
-HIGH_SQL = f"WITH {COMPARABLE_SCORES_SQL}, high AS (SELECT * FROM final WHERE score >= 9e-1)"
+ALL_SQL = f"WITH {COMPARABLE_SCORES_SQL}, high AS (SELECT * FROM final WHERE score >= 9e-1)"
+_FIELDS = "score >= 9e-1 AND s_price >= 8.5e-1 AND s_m2built >= 8.5e-1 AND s_m2terrain >= 8.5e-1"
 
 
-@query("score_funnel", f"""{HIGH_SQL}, s AS (SELECT 'high_score' AS stage, n_pairs FROM high
-UNION ALL SELECT 'within_tolerance', n_pairs FROM high WHERE s_price >= 8.5e-1 AND s_m2built >= 8.5e-1 AND s_m2terrain >= 8.5e-1
-UNION ALL SELECT 'perfect', n_pairs FROM high WHERE s_price >= 8.5e-1 AND s_m2built >= 8.5e-1 AND s_m2terrain >= 8.5e-1 AND score = 1)
-SELECT stage, count(*) AS n_groups, CAST(sum(n_pairs) AS BIGINT) AS n_pairs FROM s GROUP BY stage""")
+@query("score_funnel", f"""{ALL_SQL}, s(stage, n) AS (
+  SELECT 'high_score', n_pairs FROM final WHERE score >= 9e-1 UNION ALL SELECT 'within_tolerance', n_pairs FROM final WHERE {_FIELDS}
+  UNION ALL SELECT 'perfect', n_pairs FROM final WHERE {_FIELDS} AND score = 1)
+SELECT t.stage, count(s.n) AS n_groups, CAST(coalesce(sum(s.n), 0) AS BIGINT) AS n_pairs
+FROM (VALUES ('high_score'), ('within_tolerance'), ('perfect')) t(stage) LEFT JOIN s ON s.stage = t.stage GROUP BY t.stage""")
 def score_funnel(spark, folder):
     return P.score_funnel(pair_scores_comparables(spark, folder))
 
 
-@query("score_histogram", f"""{HIGH_SQL}, bins AS (SELECT CAST(i AS INTEGER) AS bin FROM range(20) t(i)),
+@query("score_histogram", f"""{ALL_SQL}, bins AS (SELECT CAST(i AS INTEGER) AS bin FROM range(20) t(i)),
 counted AS (SELECT least(CAST(floor((score - 9e-1) / ((1e0 - 9e-1) / 20)) AS INTEGER), 19) AS bin, sum(n_pairs) AS n FROM high GROUP BY 1)
 SELECT b.bin, 9e-1 + b.bin * ((1e0 - 9e-1) / 20) AS lower, 9e-1 + (b.bin + 1) * ((1e0 - 9e-1) / 20) AS upper, CAST(coalesce(c.n, 0) AS BIGINT) AS count
-FROM bins b LEFT JOIN counted c ON c.bin = b.bin""")
+FROM bins b LEFT JOIN counted c ON c.bin = b.bin
+UNION ALL SELECT -1, 0e0, 9e-1, CAST(coalesce(sum(n_pairs), 0) AS BIGINT) FROM final WHERE score < 9e-1""")
 def score_histogram(spark, folder):
-    scores = pair_scores_comparables(spark, folder)
-    return A.histogram(scores, bins=20, lo=0.9, hi=1.0, weight="n_pairs")
+    rows = scored_rows(spark, folder)
+    high = A.histogram(P.score_comparables(rows, min_score=HIGH), bins=20, lo=HIGH, hi=1.0, weight="n_pairs")
+    return A.with_rest(high, P.count_pairs(rows), 0.0)
 
 
-@query("score_share", f"{HIGH_SQL} SELECT CAST(sum(n_pairs) FILTER (score >= 9.5e-1) AS DOUBLE) / CAST(sum(n_pairs) AS DOUBLE) * 1e2 AS pct FROM high")
+@query("score_share", f"{ALL_SQL} SELECT CAST(sum(n_pairs) FILTER (score >= 9.5e-1) AS DOUBLE) / CAST(sum(n_pairs) AS DOUBLE) * 1e2 AS pct FROM final")
 def score_share(spark, folder):
-    return A.share_at_least(pair_scores_comparables(spark, folder), 0.95, weight="n_pairs")
+    """Percent of all comparable pairs; pairs under the threshold are counted, not formed."""
+    rows = scored_rows(spark, folder)
+    return A.share_at_least(P.score_comparables(rows, min_score=0.95), 0.95, weight="n_pairs", total=P.count_pairs(rows))
 
 
-@query("score_trend", f"""{HIGH_SQL}, e AS (SELECT min(s_price) AS lo, (max(s_price) - min(s_price)) / 10 AS w FROM high),
+@query("score_trend", f"""{ALL_SQL}, e AS (SELECT min(s_price) AS lo, (max(s_price) - min(s_price)) / 10 AS w FROM high),
 bins AS (SELECT CAST(i AS INTEGER) AS bin FROM range(10) t(i)),
 means AS (SELECT CAST(floor((s_price - lo) / w) AS INTEGER) AS bin, sum(score * n_pairs) / sum(n_pairs) AS m FROM high, e GROUP BY 1)
 SELECT b.bin, lo + (b.bin + 5e-1) * w AS center, m AS mean_score FROM bins b, e LEFT JOIN means ON means.bin = b.bin""")
@@ -309,19 +318,22 @@ def score_trend(spark, folder):
     return A.binned_trend(scores, bins=10, weight="n_pairs")
 
 
-@query("score_margin", f"""{HIGH_SQL}, e AS (SELECT min(score) AS s0, max(score) AS s1, min(s_price) AS a0, max(s_price) AS a1 FROM high)
+@query("score_margin", f"""{ALL_SQL}, e AS (SELECT min(score) AS s0, max(score) AS s1, min(s_price) AS a0, max(s_price) AS a1 FROM high)
 SELECT CASE WHEN a1 = a0 THEN 0e0 ELSE (s1 - s0) / (a1 - a0) END AS slope, s0 - CASE WHEN a1 = a0 THEN 0e0 ELSE (s1 - s0) / (a1 - a0) END * a0 AS intercept FROM e""")
 def score_margin(spark, folder):
     return A.margin_line(pair_scores_comparables(spark, folder))
 
 
-@query("score_repeated", f"""{HIGH_SQL}, top AS (SELECT * FROM high WHERE score >= 9.8e-1),
-often AS (SELECT id_left FROM top GROUP BY id_left HAVING count(*) > 1)
-SELECT id_left, count(*) AS count FROM top WHERE id_left IN (SELECT id_left FROM often) GROUP BY id_left""")
+@query("score_repeated", f"""{ALL_SQL},
+same AS (SELECT a.id AS one, b.id AS other, {ratio_sql('m2_built')} AS s_m2built, {ratio_sql('m2_terrain')} AS s_m2terrain, {ratio_sql('price_mxn')} AS s_price
+  FROM located a JOIN located b ON a.property_type = b.property_type AND a.is_development = b.is_development
+    AND a.no_bedrooms = b.no_bedrooms AND a.no_full_bathrooms = b.no_full_bathrooms AND a.id <> b.id
+    AND abs(a.q - b.q) <= 1 AND abs(a.r - b.r) <= 1 AND abs(a.q + a.r - b.q - b.r) <= 1),
+top AS (SELECT one FROM same WHERE (2e0 * s_m2built + 1e0 * s_m2terrain + 2e0 * s_price) / 5e0 >= 1e0)
+SELECT one AS id, count(*) AS n_pairs FROM top GROUP BY one HAVING count(*) > 1""")
 def score_repeated(spark, folder):
-    """Left listings in more than one top pair, with how often."""
-    from terralist.operators.filters import high_scores
-    from terralist.operators.keys import repeated
-
-    top = high_scores(pair_scores_comparables(spark, folder), 0.98)
-    return A.frequency(repeated(top, "id_left"), "id_left")
+    """Listings in more than one perfect pair, with how many."""
+    rows = scored_rows(spark, folder)
+    columns = [*P.COMPARABLE_KEYS, "cell", "m2_built", "m2_terrain", "price_mxn"]
+    members = P.group_members(rows.dropna(subset=[*P.COMPARABLE_KEYS, "cell"]), columns)
+    return P.repeated_listings(P.score_comparables(rows, min_score=HIGH), members)

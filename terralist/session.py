@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def local_session(cores="*", app="terralist", shuffle_partitions=8, **conf):
@@ -48,17 +48,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, count=False):
     """Write ``df`` once under the checkpoint folder and read on from there.
 
     A written table survives the loss of executors, runs the plan one time
-    only, and gives the planner real sizes for everything built on it.
+    only, and gives the planner real sizes for everything built on it.  With
+    ``count`` the number of rows comes along, taken as they are written.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if not count:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["n"]
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -328,7 +328,9 @@ def test_neighbourhood_and_component_scores_equal_brute_force(spark, min_score):
 
 def test_zero_weights_are_refused(spark):
     with pytest.raises(ValueError):
-        P.score_comparables(pair_rows(spark), weights={"price": 0.0})
+        P.score_comparables(pair_rows(spark), min_score=0.9, weights={"price": 0.0})
+    with pytest.raises(TypeError):
+        P.score_comparables(pair_rows(spark))
 
 
 # --- skew -------------------------------------------------------------------------------
@@ -469,3 +471,21 @@ def test_vectors(spark):
     texts = spark.createDataFrame([(1, "aa"), (2, "b")], "id int, text string")
     got = dict(rows(V.embed(texts, lambda ts: [[len(t), 0.0] for t in ts], batch_size=1)))
     assert got == {1: [1.0, 0.0], 2: [1.0, 0.0]}
+
+
+def test_all_pairs_are_counted_and_listings_that_repeat(spark):
+    same = {"property_type": "CASA", "is_development": False, "no_bedrooms": 2.0, "no_full_bathrooms": 1.0}
+    rows = [dict(same, id=i, cell="0:0", m2_built=100.0, m2_terrain=120.0, price_mxn=5.0) for i in range(3)]
+    rows += [dict(same, id=9, cell="0:1", m2_built=100.0, m2_terrain=120.0, price_mxn=5.0)]
+    rows += [dict(same, id=10, cell="5:5", m2_built=100.0, m2_terrain=120.0, price_mxn=5.0)]
+    rows += [dict(same, id=11, cell="0:0", m2_built=1.0, m2_terrain=9.0, price_mxn=77.0)]
+    df = spark.createDataFrame(rows)
+    assert P.count_pairs(df).collect() == [(10,)]
+    scores = P.score_comparables(df, min_score=0.9)
+    members = P.group_members(df, [*P.COMPARABLE_KEYS, "cell", "m2_built", "m2_terrain", "price_mxn"])
+    assert sorted(map(tuple, P.repeated_listings(scores, members).collect())) == [(0, 3), (1, 3), (2, 3), (9, 3)]
+    funnel = {r["stage"]: (r["n_groups"], r["n_pairs"]) for r in P.score_funnel(scores).collect()}
+    assert funnel == {"high_score": (2, 6), "within_tolerance": (2, 6), "perfect": (2, 6)}
+    none = {r["stage"]: r["n_pairs"] for r in P.score_funnel(scores.limit(0)).collect()}
+    assert none == {"high_score": 0, "within_tolerance": 0, "perfect": 0}
+    assert P.count_pairs(df.limit(0)).collect() == [(0,)]
