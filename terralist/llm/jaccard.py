@@ -5,14 +5,15 @@ similar enough, their first tokens share one under *any* order of all tokens:
 the smaller set's first ``near`` tokens meet the larger set's first ``far``.  The
 first order makes candidates from an index of these tokens; a pair has to pass
 the same test under the second and the third order before its sets are compared
-in full.  All orders put tokens that fall into frequent buckets last; within a
-class of frequency each has its own hash order.
+in full.  All orders put tokens of frequent words and frequent tokens last, by
+classes from two sketches over all documents; within a class each has its own
+hash order.
 
 Where copies pile up, no pairs are written within a group:
 
 * equal sets are one vertex, whatever their number;
-* index entries whose token only one set has are dropped as sorted ranges are
-  read, and a token that many sets share is spread over ranges;
+* index entries without an entry of another set of like size for their token
+  are dropped before anything is joined;
 * first every set meets the smallest set of each of its tokens only; those
   linked to it become one component, and after that only pairs across components
   are formed.  Links inside a component cannot change the result.
@@ -64,34 +65,70 @@ def mixed(x, seed=0x9E3779B97F4A7C15):
     return x ^ (x >> np.uint64(32))
 
 
-def shingle_sets(texts, size=SIZE):
-    """Sorted distinct n-gram hashes of each text."""
+def words_of(texts):
+    """(hashes of all words joined, where each text's words start and end)."""
     words = [t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in texts]
     counts = np.array([len(w) for w in words], np.int64)
     flat = np.fromiter((_hashes[w] for doc in words for w in doc), np.uint64, int(counts.sum()))
     ends = np.cumsum(counts)
-    starts = ends - counts
+    return flat, (ends - counts).tolist(), ends.tolist()
+
+
+def shingle_sets(texts, size=SIZE, frequency=None):
+    """Sorted distinct n-gram hashes of each text.
+
+    With a ``Frequency``, (set, class of each token) of each text.
+    """
+    flat, starts, ends = words_of(texts)
     grams = np.zeros(len(flat), np.uint64)
+    kinds = np.zeros(len(flat), np.uint8) if frequency is None else frequency.of_words(flat)
+    rarest = kinds.copy()
     if len(flat) >= size:
-        h = flat[:len(flat) - size + 1].copy()
+        last = len(flat) - size + 1
+        h = flat[:last].copy()
         for k in range(1, size):
-            h = mixed(h) + flat[k:len(flat) - size + 1 + k]
-        grams[:len(h)] = mixed(h)
+            h = mixed(h) + flat[k:last + k]
+            np.minimum(rarest[:last], kinds[k:last + k], out=rarest[:last])
+        grams[:last] = mixed(h)
     sets = []
-    for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+    for a, b in zip(starts, ends, strict=True):
         if b - a >= size:
-            sets.append(np.unique(grams[a:b - size + 1]))
+            tokens, at = np.unique(grams[a:b - size + 1], return_index=True)
+            own = rarest[a:b - size + 1][at]
         elif b > a:
-            h = np.uint64(b - a)
-            with np.errstate(over="ignore"):
-                for w in flat[a:b]:
-                    h = mixed(np.array([h]))[0] + w
-            sets.append(mixed(np.array([h], np.uint64)))
+            h = np.full(1, b - a, np.uint64)
+            for k in range(a, b):
+                h = mixed(h) + flat[k:k + 1]
+            tokens, own = mixed(h), kinds[a:b].min(keepdims=True)
         else:
-            sets.append(np.empty(0, np.uint64))
+            tokens, own = np.empty(0, np.uint64), np.empty(0, np.uint8)
+        sets.append(tokens if frequency is None else (tokens, np.minimum(own + frequency.of_tokens(tokens), 63)))
     return sets
 
 
+class Frequency:
+    """Classes of frequency from two sketches of fixed size, of words and of tokens.
+
+    A token's class is that of its rarest word plus its own.  Buckets only hold
+    sums, so that a class may be too high: that costs candidates, never links.
+    """
+
+    def __init__(self, words, tokens):
+        self.words, self.tokens = words, tokens
+        self.shift = np.uint64(64 - int(len(tokens)).bit_length() + 1)
+
+    @staticmethod
+    def classes(counts):
+        mean = max(1.0, counts.sum() / len(counts))
+        return np.minimum(np.log2(np.maximum(counts / mean, 1)), 63).astype(np.uint8)
+
+    def of_words(self, hashes):
+        return self.words[hashes >> self.shift]
+
+    def of_tokens(self, tokens):
+        return self.tokens[tokens >> self.shift]
+
+
 def vertex(tokens):
     """64-bit name of a set."""
     with np.errstate(over="ignore"):
@@ -110,41 +147,46 @@ def near(n, percent=PERCENT):
 
 
 def first_tokens(tokens, classes, order, count):
-    """The first ``count`` tokens in the given order."""
-    shift = np.uint64(64 - int(len(classes)).bit_length() + 1)
-    rank = mixed(tokens, order) >> np.uint64(6) | classes[tokens >> shift].astype(np.uint64) << np.uint64(58)
+    """The first ``count`` tokens in the given order: by class, then by hash."""
+    rank = mixed(tokens, order) >> np.uint64(6) | classes.astype(np.uint64) << np.uint64(58)
     return tokens[np.argsort(rank)[:count]]
 
 
-def _each_text(batches, size):
-    """(row, set) for each row of the batches: the text is the last column."""
+def _each_text(batches, size, frequency=None):
+    """(rows, sets) for pieces of the batches: the text is the last column."""
     for batch in batches:
         for piece in pieces(batch):
-            yield piece, shingle_sets(piece.column(piece.num_columns - 1).to_pylist(), size)
+            yield piece, shingle_sets(piece.column(piece.num_columns - 1).to_pylist(), size, frequency)
 
 
 def profiles(docs, key, text, size, buckets):
-    """(key, n, v) per row, and the frequency class of each bucket of tokens."""
+    """(key, n, v) per row, and the ``Frequency`` of words and tokens."""
+    parts = 64
+
     def read(batches):
-        counts = np.zeros(buckets, np.int64)
+        counts = np.zeros((2, buckets), np.int64)
         shift = np.uint64(64 - int(buckets).bit_length() + 1)
+        kind = None
         for piece, sets in _each_text(batches, size):
-            counts += np.bincount((np.concatenate([*sets, np.empty(0, np.uint64)]) >> shift).astype(np.int64), minlength=buckets)
+            kind = piece.schema.types[0]
+            flat, _, _ = words_of(piece.column(1).to_pylist())
+            for row, hashes in enumerate((flat, np.concatenate([*sets, np.empty(0, np.uint64)]))):
+                counts[row] += np.bincount((hashes >> shift).astype(np.int64), minlength=buckets)
             yield pa.RecordBatch.from_arrays([
                 piece.column(0), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([vertex(s) if len(s) else None for s in sets], pa.int64()),
                 pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary()),
             ], names=["key", "n", "v", "block", "counts"])
-        blocks = counts.reshape(64, -1)
+        blocks = counts.reshape(2 * parts, -1)
         used = np.flatnonzero(blocks.any(axis=1))
         if len(used):
             yield pa.RecordBatch.from_arrays([
-                pa.nulls(len(used), piece.schema.types[0]), pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.int64()),
+                pa.nulls(len(used), kind), pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.int64()),
                 pa.array(used, pa.int32()), pa.array([blocks[b].astype(np.uint32).tobytes() for b in used], pa.binary()),
             ], names=["key", "n", "v", "block", "counts"])
 
     def add(group, frame):
-        total = np.zeros(buckets // 64, np.int64)
+        total = np.zeros(buckets // parts, np.int64)
         for data in frame.column("counts"):
             part = data.as_buffer()
             total += np.frombuffer(part, np.uint32 if part.size == 4 * len(total) else np.int64).astype(np.int64)
@@ -152,80 +194,69 @@ def profiles(docs, key, text, size, buckets):
 
     kind = docs.schema[key].dataType.simpleString()
     both = cut_lineage(docs.select(key, text).mapInArrow(read, f"key {kind}, n long, v long, block int, counts binary"))
-    # Sums of the sketch in two steps, so that no task adds up those of all tasks.
-    parts = both.filter("block IS NOT NULL").select("block", "counts", F.spark_partition_id().alias("p"))
-    some = parts.withColumn("some", F.floor(F.col("p") / 64)).groupBy("block", "some").applyInArrow(add, "block int, counts binary")
+    # Sums of the sketches in two steps, so that no task adds up those of all tasks.
+    sketches = both.filter("block IS NOT NULL").select("block", "counts", F.spark_partition_id().alias("p"))
+    some = sketches.withColumn("some", F.floor(F.col("p") / 64)).groupBy("block", "some").applyInArrow(add, "block int, counts binary")
     sums = some.groupBy("block").applyInArrow(add, "block int, counts binary")
-    counts = np.zeros((64, buckets // 64), np.int64)
+    counts = np.zeros((2 * parts, buckets // parts), np.int64)
     for row in sums.collect():
         counts[row["block"]] = np.frombuffer(row["counts"], np.int64)
-    counts = counts.ravel()
-    mean = max(1.0, counts.sum() / buckets)
-    classes = np.minimum(np.log2(np.maximum(counts / mean, 1)), 63).astype(np.uint8)
-    return both.filter("block IS NULL").select("key", "n", "v"), classes
+    words, tokens = counts.reshape(2, -1)
+    return both.filter("block IS NULL").select("key", "n", "v"), Frequency(Frequency.classes(words), Frequency.classes(tokens))
 
 
-def shared_tokens(docs, text, classes, size, percent):
-    """(token, v, n, low): index entries of tokens that two sets or more have.
+def shared_tokens(docs, text, frequency, size, percent):
+    """(token, v, n, low): index entries of tokens that two sets of like size have.
 
-    ``low`` marks the entries the smaller set of a pair may be found by.
+    ``low`` marks the entries the smaller set of a pair may be found by.  Tokens
+    of frequent buckets are dealt out by set as well and kept unseen, so that a
+    token that many sets share does not meet in one task.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(classes)
+    shared = docs.sparkSession.sparkContext.broadcast(frequency)
 
     def entries(batches):
         seen = set()
-        for _, sets in _each_text(batches, size):
-            tokens, names, sizes, low = [], [], [], []
-            for s in sets:
+        for _, sets in _each_text(batches, size, shared.value):
+            parts = []
+            for s, classes in sets:
                 if len(s):
                     v, n = vertex(s), len(s)
                     if v in seen:
                         continue
                     seen.add(v)
-                    first = first_tokens(s, shared.value, ORDERS[0], far(n, percent))
-                    tokens.append(first)
-                    names.append(np.full(len(first), v))
-                    sizes.append(np.full(len(first), n))
-                    low.append(np.arange(len(first)) < near(n, percent))
+                    first = first_tokens(s, classes, ORDERS[0], far(n, percent))
+                    spread = np.where(shared.value.of_tokens(first) > 0, 1 + (v & 63), 0)
+                    parts.append((first.view(np.int64), np.full(len(first), v), np.full(len(first), n), np.arange(len(first)) < near(n, percent), spread))
             if len(seen) > 1_000_000:
                 seen.clear()
-            if tokens:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(names), pa.int64()),
-                    pa.array(np.concatenate(sizes), pa.int32()), pa.array(np.concatenate(low)),
-                ], names=["token", "v", "n", "low"])
+            if parts:
+                columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32()), strict=True)],
+                    names=["token", "v", "n", "low", "spread"],
+                )
 
     def repeated(batches):
-        """Entries whose token has another set next to it; those at a range's ends are kept."""
-        held = None
-        first = True
+        """Entries with a set of like size next to them: the rows come sorted by token, size and set."""
+        held, held_good = None, False
         for batch in batches:
             if not batch.num_rows:
                 continue
-            table = pa.concat_batches([held, batch]) if held is not None else batch
-            token, v = (table.column(i).to_numpy() for i in (0, 1))
-            # All rows but those of the last token can be judged now.
-            ready = int(np.searchsorted(token, token[-1]))
-            begins = np.flatnonzero(np.append(True, token[1:ready] != token[:ready - 1])) if ready else np.empty(0, np.int64)
-            if len(begins):
-                many = np.minimum.reduceat(v[:ready], begins) != np.maximum.reduceat(v[:ready], begins)
-                if first:
-                    many[0] = True
-                keep = np.repeat(many, np.diff(np.append(begins, ready)))
-                yield table.slice(0, ready).filter(pa.array(keep))
-                first = False
-            held = table.slice(ready)
-            if held.num_rows > 100_000:
-                yield held.slice(0, held.num_rows - 1)
-                held, first = held.slice(held.num_rows - 1), True
-        if held is not None:
-            yield held
-
-    schema = "token long, v long, n int, low boolean"
-    index = docs.select(text).mapInArrow(entries, schema)
-    ranges = index.repartitionByRange("token", "v").sortWithinPartitions("token", "v")
-    kept = ranges.mapInArrow(repeated, schema).distinct()
-    return cut_lineage(kept)
+            rows = pa.concat_batches([held, batch]) if held is not None else batch
+            token, v = (rows.column(i).to_numpy() for i in (0, 1))
+            rows = rows.filter(pa.array(np.append(True, (token[1:] != token[:-1]) | (v[1:] != v[:-1]))))
+            token, n, spread = (rows.column(i).to_numpy().astype(np.int64) for i in (0, 2, 4))
+            good = np.append(held_good, (token[1:] == token[:-1]) & (percent * n[1:] <= 100 * n[:-1]))
+            keep = good | (spread > 0)
+            keep[:-1] |= good[1:]
+            yield rows.slice(0, rows.num_rows - 1).filter(pa.array(keep[:-1])).select(["token", "v", "n", "low"])
+            held, held_good = rows.slice(rows.num_rows - 1), bool(good[-1])
+        if held is not None and (held_good or held.column(4)[0].as_py() > 0):
+            yield held.select(["token", "v", "n", "low"])
+
+    index = docs.select(text).mapInArrow(entries, "token long, v long, n int, low boolean, spread int")
+    dealt = index.repartition("token", "spread").sortWithinPartitions("token", "n", "v")
+    return cut_lineage(dealt.mapInArrow(repeated, "token long, v long, n int, low boolean"))
 
 
 def bit_filter(values, column, bits=FILTER_BITS):
@@ -239,16 +270,15 @@ def bit_filter(values, column, bits=FILTER_BITS):
     return out
 
 
-def sets_of(docs, text, wanted, classes, size, percent, bits=FILTER_BITS):
+def sets_of(docs, text, wanted, frequency, size, percent, bits=FILTER_BITS):
     """(v, n, second, third, tokens) of the sets in ``wanted``, written once."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((classes, bit_filter(wanted, "v", bits)))
+    shared = docs.sparkSession.sparkContext.broadcast((frequency, bit_filter(wanted, "v", bits)))
 
     def read(batches):
-        classes, passes = shared.value
-        for _, sets in _each_text(batches, size):
+        frequency, passes = shared.value
+        for _, sets in _each_text(batches, size, frequency):
             rows, seen = [], set()
-            for s in sets:
+            for s, classes in sets:
                 if not len(s):
                     continue
                 v, n = vertex(s), len(s)
@@ -265,7 +295,7 @@ def sets_of(docs, text, wanted, classes, size, percent, bits=FILTER_BITS):
                 ], names=["v", "n", "second", "third", "tokens"])
 
     found = docs.select(text).mapInArrow(read, "v long, n long, second binary, third binary, tokens binary")
-    return cut_lineage(found.join(wanted.select("v").distinct(), "v", "left_semi").dropDuplicates(["v"]))
+    return cut_lineage(found.dropDuplicates(["v"]))
 
 
 def linked(pairs, sets, percent=PERCENT):
@@ -305,10 +335,10 @@ def near_enough(percent):
     return (F.col("n") <= F.col("m")) & (100 * F.col("n") >= percent * F.col("m"))
 
 
-def set_links(docs, text="text", size=SIZE, percent=PERCENT, classes=None, stars=2):
-    """Links that make the same components as all links: (x, y) of set names."""
-    shared = shared_tokens(docs, text, classes, size, percent)
-    sets = sets_of(docs, text, shared, classes, size, percent)
+def set_components(docs, frequency, text="text", size=SIZE, percent=PERCENT, stars=1):
+    """(v, root) of the sets that share tokens: components of all links."""
+    shared = shared_tokens(docs, text, frequency, size, percent)
+    sets = sets_of(docs, text, shared, frequency, size, percent)
     links, labels = None, None
     for star in range(stars + 1):
         entries = shared if labels is None else shared.join(labels, "v")
@@ -339,8 +369,8 @@ def set_links(docs, text="text", size=SIZE, percent=PERCENT, classes=None, stars
 
 def near_duplicates(docs, key="doc_id", text="text", size=SIZE, percent=PERCENT, buckets=BUCKETS):
     """(key, n_shingles, component_id) per row; the component is its smallest key."""
-    rows, classes = profiles(docs, key, text, size, buckets)
-    labels = set_links(docs, text, size, percent, classes)
+    rows, frequency = profiles(docs, key, text, size, buckets)
+    labels = set_components(docs, frequency, text, size, percent)
     first = rows.filter("v IS NOT NULL").groupBy("v").agg(F.min("key").alias("_first"))
     named = first.join(labels, "v", "left").withColumn("root", F.coalesce("root", "v"))
     smallest = named.groupBy("root").agg(F.min("_first").alias("component_id"))
