@@ -33,6 +33,8 @@ UNITS = 200_000
 #: Fixed values of the model format: how a space is written, and the kind of ordinary pieces.
 SPACE_MARK = "▁"
 ORDINARY = (1, 4, 5)
+#: Letters behind which signs may start a unit.
+LETTER = "[A-Za-zÀ-ÖØ-öø-ɏ]"
 
 
 def read_model(path):
@@ -88,10 +90,18 @@ class Counter(dict):
         self.cached, self.older = cached, {}
         if any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in ranks):
             raise ValueError("pieces that hold a space after another symbol are not supported")
+        # Characters that no piece joins to others stand alone; others that none has behind
+        # a letter start a unit there.  Both follow from the vocabulary.
+        ascii_signs = [chr(c) for c in range(128) if not chr(c).isalnum()]
         inside = {c for p in ranks if len(p) > 1 for c in p}
-        alone = re.escape("".join(chr(c) for c in range(128) if chr(c) not in inside))
+        behind = {b for p in ranks for a, b in zip(p, p[1:], strict=False) if re.match(LETTER, a)}
+        alone = re.escape("".join(c for c in ascii_signs if c not in inside)) or r"\n"
+        stops = re.escape("".join(c for c in ascii_signs if c in inside and c not in behind)) or r"\n"
         mark = SPACE_MARK
-        self.units = re.compile(f"{mark}*[^{mark}{alone}]+|{mark}+|[{alone}]" if alone else f"{mark}*[^{mark}]+|{mark}+").findall
+        plain = f"[^{mark}{alone}{stops}]+"
+        self.units = re.compile(
+            f"{mark}*(?:[{stops}]|{plain})(?:{plain}|(?<!{LETTER})[{stops}])*|{mark}+|[{alone}]"
+        ).findall
 
     def __missing__(self, unit):
         if len(self) >= self.cached:
