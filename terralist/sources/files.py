@@ -3,12 +3,14 @@
 import csv
 import io
 import zipfile
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from terralist import constants as K
 from terralist.operators.shaping import align
+from terralist.session import cut_lineage
 
 
 # --- discovery ------------------------------------------------------------------
@@ -149,6 +151,8 @@ def _members(columns):
 
 
 def _csv_rows(archive, name, columns, batch_rows=20_000):
+    # Descriptions may be longer than the csv module takes by default.
+    csv.field_size_limit((1 << 31) - 1)
     with archive.open(name) as raw:
         delimiter = delimiter_of(raw.read(256 * 1024))
     with archive.open(name) as raw:
@@ -186,45 +190,94 @@ def zipped_csv(spark: SparkSession, paths, columns, *, types=None, tokens=None)
     return typed(rows, columns, types or {}, tokens)
 
 
-def first_member(spark: SparkSession, path) -> DataFrame:
-    """First CSV member of an archive with inferred types."""
-    with_header = (
-        spark.read.format("binaryFile").load(path).select("content")
-        .mapInArrow(_first_member_lines, "line string")
-    )
-    # ``spark.read.csv`` over lines infers the types in parallel.
-    lines = with_header.rdd.map(lambda r: r[0])
-    return spark.read.csv(lines, header=True, inferSchema=True)
+def _csv_member(archive):
+    return next((n for n in archive.namelist() if n.lower().endswith(".csv")), None)
 
 
-def _first_member_lines(batches):
+def _header(batches):
     for batch in batches:
         for content in batch.column("content"):
             archive = zipfile.ZipFile(io.BytesIO(content.as_py()))
-            name = next((n for n in archive.namelist() if n.lower().endswith(".csv")), None)
+            name = _csv_member(archive)
             if name is None:
                 continue
             with archive.open(name) as raw:
-                text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace")
-                chunk = []
-                for line in text:
-                    chunk.append(line.rstrip("\r\n"))
-                    if len(chunk) >= 20_000:
-                        yield _as_batch([[x] for x in chunk], ["line"])
-                        chunk = []
-                if chunk:
-                    yield _as_batch([[x] for x in chunk], ["line"])
-
-
-def plain_csv(spark: SparkSession, paths, schema, *, delimiter=",", strict=True, tokens=None) -> DataFrame:
-    """Declared-schema CSV.
-
-    ``strict`` raises on a row that does not fit; otherwise extra fields are
-    dropped, short rows filled and bad values null.
+                sample = raw.read(256 * 1024)
+            text = io.StringIO(sample.decode("utf-8", "replace"), newline="")
+            names = next(csv.reader(text, delimiter=delimiter_of(sample)), [])
+            yield pa.RecordBatch.from_arrays([pa.array([names], pa.list_(pa.string()))], names=["names"])
+
+
+def inferred(df: DataFrame) -> DataFrame:
+    """Text columns in the narrowest type that takes all their values; one pass finds it."""
+    kinds = ("bigint", "double", "boolean", "timestamp")
+    fits = [
+        F.bool_and(F.col(c).isNull() | F.col(c).try_cast(k).isNotNull()).alias(f"{i}_{k}")
+        for i, c in enumerate(df.columns) for k in kinds
+    ]
+    some = [F.count(c).alias(f"{i}_n") for i, c in enumerate(df.columns)]
+    row = df.agg(*fits, *some).first()
+    choice = {
+        c: next((k for k in kinds if row[f"{i}_{k}"]), "string") if row[f"{i}_n"] else "string"
+        for i, c in enumerate(df.columns)
+    }
+    return df.select(*[F.col(c).try_cast(k).alias(c) if k != "string" else F.col(c) for c, k in choice.items()])
+
+
+def first_member(spark: SparkSession, path) -> DataFrame:
+    """First CSV member of an archive with inferred types; empty fields are null."""
+    raw = spark.read.format("binaryFile").load(path).select("content")
+    found = raw.mapInArrow(_header, "names array<string>").first()
+    if found is None:
+        return spark.createDataFrame([], "value string")
+    columns = list(found["names"])
+
+    def read(batches):
+        for batch in batches:
+            for content in batch.column("content"):
+                archive = zipfile.ZipFile(io.BytesIO(content.as_py()))
+                name = _csv_member(archive)
+                if name is not None:
+                    yield from _csv_rows(archive, name, columns)
+
+    rows = raw.mapInArrow(read, ", ".join(f"`{c}` string" for c in columns))
+    # Read once: the types are found on the rows that are returned.
+    return inferred(cut_lineage(null_tokens(rows, [""])))
+
+
+def plain_csv(spark: SparkSession, paths, schema, *, delimiter=None, strict=True, tokens=None, multiline=True) -> DataFrame:
+    """Declared-schema CSV; the delimiter is sniffed per file unless given.
+
+    Values are read as text, null tokens become null, then types are applied.
+    ``strict`` raises on a row with another number of fields and on a value
+    that does not fit; otherwise extra fields are dropped, short rows filled
+    and bad values null.  Quoted fields may hold line ends; where none does,
+    ``multiline=False`` lets Spark split large files.
     """
-    reader = spark.read.schema(schema).option("header", "true").option("sep", delimiter)
-    reader = reader.option("multiLine", "false").option("mode", "FAILFAST" if strict else "PERMISSIVE")
-    return null_tokens(reader.csv(paths), tokens)
+    if delimiter is None:
+        # One row per file.
+        groups = {}
+        for row in sniff_delimiters(spark, paths).collect():
+            groups.setdefault(row["delimiter"], []).append(row["path"])
+        parts = [
+            plain_csv(spark, files, schema, delimiter=d, strict=strict, tokens=tokens, multiline=multiline)
+            for d, files in sorted(groups.items())
+        ]
+        return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
+    fields = spark.createDataFrame([], schema).schema.fields
+    text = ", ".join(f"`{f.name}` string" for f in fields)
+    reader = spark.read.schema(text).option("header", "true").option("sep", delimiter).option("escape", '"')
+    reader = reader.option("multiLine", multiline).option("mode", "FAILFAST" if strict else "PERMISSIVE")
+    rows = null_tokens(reader.csv(paths), tokens)
+
+    def value(f):
+        cast = F.col(f.name).try_cast(f.dataType)
+        if not strict:
+            return cast.alias(f.name)
+        wrong = F.raise_error(F.concat(F.lit(f"{f.name} does not take "), F.col(f.name))).cast(f.dataType)
+        return F.when(F.col(f.name).isNotNull() & cast.isNull(), wrong).otherwise(cast).alias(f.name)
+
+    return rows.select(*[value(f) for f in fields])
 
 
 # --- Parquet -------------------------------------------------------------------------

@@ -81,6 +81,32 @@ def test_zipped_csv(spark, wave):
     assert inferred.count() == 2
 
 
+def test_csv_readers_agree_on_awkward_files(spark, tmp_path):
+    long = "d" * 200_000
+    rows = [("1", '"two\nlines; x"', "1.5"), ("2", '"say ""hi"""', "None"), ("3", long, "")]
+    for sep in ",;":
+        body = sep.join(["id", "note", "price"]) + "\n" + "".join(sep.join(r) + "\n" for r in rows)
+        folder = tmp_path / ("semi" if sep == ";" else "comma")
+        folder.mkdir()
+        write(folder / "p.csv", body)
+        with zipfile.ZipFile(folder / "z.zip", "w") as z:
+            z.writestr("a.csv", body)
+        want = [(1, "two\nlines; x", 1.5), (2, 'say "hi"', None), (3, long, None)]
+        types = {"id": "bigint", "price": "double"}
+        plain = files.plain_csv(spark, str(folder / "p.csv"), "id bigint, note string, price double")
+        zipped = files.zipped_csv(spark, str(folder / "z.zip"), ["id", "note", "price"], types=types)
+        assert sorted(map(tuple, plain.collect())) == want == sorted(map(tuple, zipped.collect()))
+        first = files.first_member(spark, str(folder / "z.zip"))
+        assert first.dtypes == [("id", "bigint"), ("note", "string"), ("price", "string")]
+        assert [r[1] for r in sorted(map(tuple, first.collect()))] == [w[1] for w in want]
+
+
+def test_first_member_without_csv(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "z.zip", "w") as z:
+        z.writestr("readme.txt", "no rows")
+    assert files.first_member(spark, str(tmp_path / "z.zip")).count() == 0
+
+
 def test_plain_csv(spark, tmp_path):
     write(tmp_path / "p.csv", "a,b\n1,NULL\nx,2,3\n4\n")
     loose = files.plain_csv(spark, str(tmp_path / "p.csv"), "a int, b string", strict=False)
