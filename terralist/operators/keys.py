@@ -19,15 +19,16 @@ def one_per_key(df: DataFrame, keys, *, order_by=None, last=False) -> DataFrame:
     keys = _names(keys)
     rest = [c for c in df.columns if c not in keys]
     order = [F.col(c) if isinstance(c, str) else c for c in _names(order_by or [])]
+    if not rest:
+        return df.distinct()
+    # The rank ends with the row itself, so the best rank is the row: it travels once.
     rank = F.struct(
         *[c.alias(f"_o{i}") for i, c in enumerate(order)],
         *[F.col(c).alias(f"_t{i}") for i, c in enumerate(rest)],
     )
-    pick = F.max_by if last else F.min_by
-    if not rest:
-        return df.distinct()
-    chosen = df.groupBy(*keys).agg(pick(F.struct(*rest), rank).alias("_row"))
-    return chosen.select(*keys, "_row.*").select(df.columns)
+    chosen = df.groupBy(*keys).agg((F.max if last else F.min)(rank).alias("_row"))
+    place = {c: F.col(f"_row._t{i}").alias(c) for i, c in enumerate(rest)}
+    return chosen.select(*[place.get(c, F.col(c)) for c in df.columns])
 
 
 def any_per_key(df: DataFrame, keys) -> DataFrame:

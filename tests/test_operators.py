@@ -489,3 +489,12 @@ def test_all_pairs_are_counted_and_listings_that_repeat(spark):
     none = {r["stage"]: r["n_pairs"] for r in P.score_funnel(scores.limit(0)).collect()}
     assert none == {"high_score": 0, "within_tolerance": 0, "perfect": 0}
     assert P.count_pairs(df.limit(0)).collect() == [(0,)]
+
+
+def test_a_fraction_survives_a_whole_number_history(spark):
+    from terralist.operators import waves as W
+
+    history = spark.createDataFrame([(1, "a", 3, True, None)], "id long, id_ext string, no_bedrooms long, is_active boolean, unpublished_wave string")
+    new = spark.createDataFrame([("a", 3.5)], "id_ext string, no_bedrooms double")
+    row = W.merge_history(history, new, "2024-01-08", key="id_ext", tracked=["no_bedrooms"]).first()
+    assert row["no_bedrooms"] == 3.5 and row["no_bedrooms_last_updated_wave"] == "2024-01-08"
