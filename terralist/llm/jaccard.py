@@ -378,3 +378,18 @@ def near_duplicates(docs, key="doc_id", text="text", size=SIZE, percent=PERCENT,
     linked_rows = rows.filter("v IS NOT NULL").join(component, "v").select("key", "n", "component_id")
     empty = rows.filter("v IS NULL").select("key", "n", F.col("key").alias("component_id"))
     return linked_rows.unionByName(empty).select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id")
+
+
+def near_duplicates_sql(size=SIZE, percent=PERCENT):
+    """The same over ``documents`` in DuckDB's SQL, by all shared n-grams."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {size} THEN list_transform(range(1, len(w) - {size - 2}), lambda i: array_to_string(w[i : i + {size - 1}], ' '))
+             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+n AS (SELECT d.doc_id, count(g.g) AS n FROM d LEFT JOIN g ON g.doc_id = d.doc_id GROUP BY d.doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= {percent} * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y)
+SELECT n.doc_id, n.n AS n_shingles, min(r.y) AS component_id FROM n JOIN r ON r.x = n.doc_id GROUP BY n.doc_id, n.n"""

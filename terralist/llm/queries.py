@@ -65,7 +65,7 @@ def mixing(spark, folder):
     return op4.mix(sized).select("doc_id", "size", "source_size", "target", "taken")
 
 
-@query("op3_warc")
+@query("op3_warc", op3.archive_sql())
 def warc(spark, folder):
     manifest = op3.write_archives(table(spark, folder, "pages", "page_id", "url", "html"))
     records = op3.read_archives(manifest, payload=False).filter("kind = 'record'")
@@ -82,7 +82,7 @@ def language_id(spark, folder):
     return op7.identify(docs, models).select("doc_id", "held_out", "lang_pred", "score")
 
 
-@query("op1_ngram_jaccard")
+@query("op1_ngram_jaccard", op1.near_duplicates_sql())
 def ngram_jaccard(spark, folder):
     return op1.near_duplicates(table(spark, folder, "documents", "doc_id", "text"))
 

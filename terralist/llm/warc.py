@@ -325,3 +325,14 @@ def read_archives(manifest, payload=True, split_bytes=SPLIT_BYTES):
         read, "path string, offset long, end long, kind string, reason string, record_type string, record_id string, "
         "refers_to string, url string, payload_bytes long, payload_digest string, payload binary",
     )
+
+
+def archive_sql():
+    """What the archives of ``pages`` hold, in DuckDB's SQL."""
+    bits = "CAST('0x' || substr(x, (i // 8) * 10 + 1, 10) AS BIGINT) >> (35 - 5 * (i % 8))"
+    return f"""
+WITH s AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS x FROM pages),
+b AS (SELECT *, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((({bits}) & 31) + 1 AS BIGINT), 1)), '') AS payload_digest FROM s),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS largest FROM b)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> largest THEN largest END AS refers_to FROM m"""
