@@ -3,9 +3,9 @@
 A document's set holds the hashes of its distinct word n-grams.  If two sets are
 similar enough, their first tokens share one under *any* order of all tokens:
 the smaller set's first ``near`` tokens meet the larger set's first ``far``.  The
-first order makes candidates from an index of these tokens; a pair has to pass
-the same test under the second and the third order before its sets are compared
-in full.  All orders put tokens of frequent words and frequent tokens last, by
+first order makes candidates from an index of these tokens; under the second and
+the third order a pair then has to share as many of its first tokens as its
+sizes imply before its sets are compared in full.  All orders put tokens of frequent words and frequent tokens last, by
 classes from two sketches over all documents; within a class each has its own
 hash order.
 
@@ -79,7 +79,10 @@ def shingle_sets(texts, size=SIZE, frequency=None):
 
     With a ``Frequency``, (set, class of each token) of each text.
     """
-    flat, starts, ends = words_of(texts)
+    return sets_of_words(*words_of(texts), size, frequency)
+
+
+def sets_of_words(flat, starts, ends, size=SIZE, frequency=None):
     grams = np.zeros(len(flat), np.uint64)
     kinds = np.zeros(len(flat), np.uint8) if frequency is None else frequency.of_words(flat)
     rarest = kinds.copy()
@@ -152,7 +155,7 @@ def first_tokens(tokens, classes, order, count):
     return tokens[np.argsort(rank)[:count]]
 
 
-def _each_text(batches, size, frequency=None):
+def _each_text(batches, size, frequency):
     """(rows, sets) for pieces of the batches: the text is the last column."""
     for batch in batches:
         for piece in pieces(batch):
@@ -167,9 +170,10 @@ def profiles(docs, key, text, size, buckets):
         counts = np.zeros((2, buckets), np.int64)
         shift = np.uint64(64 - int(buckets).bit_length() + 1)
         kind = None
-        for piece, sets in _each_text(batches, size):
+        for piece in (p for batch in batches for p in pieces(batch)):
             kind = piece.schema.types[0]
-            flat, _, _ = words_of(piece.column(1).to_pylist())
+            flat, starts, ends = words_of(piece.column(1).to_pylist())
+            sets = sets_of_words(flat, starts, ends, size)
             for row, hashes in enumerate((flat, np.concatenate([*sets, np.empty(0, np.uint64)]))):
                 counts[row] += np.bincount((hashes >> shift).astype(np.int64), minlength=buckets)
             yield pa.RecordBatch.from_arrays([
@@ -270,45 +274,83 @@ def bit_filter(values, column, bits=FILTER_BITS):
     return out
 
 
-def sets_of(docs, text, wanted, frequency, size, percent, bits=FILTER_BITS):
-    """(v, n, second, third, tokens) of the sets in ``wanted``, written once."""
+def short(tokens):
+    """Tokens as 16-bit hashes: a set of them may seem larger in common, never smaller."""
+    return (tokens >> np.uint64(48)).astype(np.uint16).tobytes()
+
+
+def _wanted_sets(docs, text, wanted, frequency, size, bits, columns, schema):
+    """Columns computed of each set in ``wanted``, one row per set, written once."""
     shared = docs.sparkSession.sparkContext.broadcast((frequency, bit_filter(wanted, "v", bits)))
 
     def read(batches):
         frequency, passes = shared.value
+        seen = set()
         for _, sets in _each_text(batches, size, frequency):
-            rows, seen = [], set()
+            rows = []
             for s, classes in sets:
                 if not len(s):
                     continue
-                v, n = vertex(s), len(s)
+                v = vertex(s)
                 p = v % bits
                 if v in seen or not int(passes[p >> 6]) >> (p & 63) & 1:
                     continue
                 seen.add(v)
-                rest = [(first_tokens(s, classes, o, far(n, percent)) >> np.uint64(32)).astype(np.uint32).tobytes() for o in ORDERS[1:]]
-                rows.append((v, n, *rest, s.tobytes()))
+                rows.append((v, len(s), *columns(s, classes)))
+            if len(seen) > 1_000_000:
+                seen.clear()
             if rows:
-                v, n, second, third, tokens = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(v, pa.int64()), pa.array(n, pa.int64()), *(pa.array(x, pa.binary()) for x in (second, third, tokens)),
-                ], names=["v", "n", "second", "third", "tokens"])
+                arrays = [pa.array(c, pa.int64() if i < 2 else pa.binary()) for i, c in enumerate(zip(*rows, strict=True))]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    found = docs.select(text).mapInArrow(read, "v long, n long, second binary, third binary, tokens binary")
+    names = ["v", "n", *schema]
+    found = docs.select(text).mapInArrow(read, ", ".join(["v long", "n long", *(f"{c} binary" for c in schema)]))
     return cut_lineage(found.dropDuplicates(["v"]))
 
 
-def linked(pairs, sets, percent=PERCENT):
-    """The (x, y) of ``pairs`` whose sets are similar enough; x is the smaller set."""
+def order_sketches(docs, text, wanted, frequency, size, percent, bits=FILTER_BITS):
+    """(v, n, second, third): first tokens under the other two orders, as short hashes."""
+    def columns(s, classes):
+        return [short(first_tokens(s, classes, o, far(len(s), percent))) for o in ORDERS[1:]]
+
+    return _wanted_sets(docs, text, wanted, frequency, size, bits, columns, ["second", "third"])
+
+
+def whole_sets(docs, text, wanted, frequency, size, bits=FILTER_BITS):
+    """(v, n, tokens) of the sets in ``wanted``."""
+    return _wanted_sets(docs, text, wanted, frequency, size, bits, lambda s, _: [s.tobytes()], ["tokens"])
+
+
+def least_shared(nx, ny, percent):
+    """How many of their first tokens two sets have to share under any order.
+
+    Whichever set's first tokens end first, those it shares are first tokens of
+    both up to there, and at most all that follow are shared.
+    """
+    needed = -(-percent * (nx + ny) // (100 + percent))
+    return max(1, needed - max(nx - far(nx, percent), ny - far(ny, percent)))
+
+
+def passing(pairs, sketches, percent=PERCENT):
+    """The (x, y) of ``pairs`` that share enough first tokens under the second and the third order."""
     def orders(batches):
         for batch in batches:
             keep = []
-            for nx, ny, *tokens in zip(*(batch.column(i).to_pylist() for i in range(2, 8)), strict=True):
-                x2, x3, y2, y3 = (np.frombuffer(t, np.uint32) for t in tokens)
-                low, high = near(nx, percent), far(ny, percent)
-                keep.append(len(np.intersect1d(x2[:low], y2[:high])) > 0 and len(np.intersect1d(x3[:low], y3[:high])) > 0)
+            for nx, ny, x2, x3, y2, y3 in zip(*(batch.column(i).to_pylist() for i in range(2, 8)), strict=True):
+                least = least_shared(nx, ny, percent)
+                keep.append(all(
+                    np.count_nonzero(np.isin(np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16), kind="sort")) >= least
+                    for a, b in ((x2, y2), (x3, y3))
+                ))
             yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
+    side = lambda name: sketches.select(F.col("v").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("n", "second", "third")])
+    tested = pairs.join(side("x"), "x").join(side("y"), "y")
+    return cut_lineage(tested.select("x", "y", "x_n", "y_n", "x_second", "x_third", "y_second", "y_third").mapInArrow(orders, "x long, y long"), count=True)
+
+
+def linked(pairs, sets, percent=PERCENT):
+    """The (x, y) of ``pairs`` whose whole sets are similar enough."""
     def verify(batches):
         for batch in batches:
             for piece in pieces(batch):
@@ -319,14 +361,8 @@ def linked(pairs, sets, percent=PERCENT):
                     keep.append(100 * both >= percent * (len(a) + len(b) - both))
                 yield piece.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
-    side = lambda name, *columns: sets.select(F.col("v").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
-    pairs = cut_lineage(pairs.select("x", "y").distinct())
-    short = ("n", "second", "third")
-    tested = pairs.join(side("x", *short), "x").join(side("y", *short), "y")
-    passed = cut_lineage(
-        tested.select("x", "y", "x_n", "y_n", "x_second", "x_third", "y_second", "y_third").mapInArrow(orders, "x long, y long")
-    )
-    whole = passed.join(side("x", "tokens"), "x").join(side("y", "tokens"), "y")
+    side = lambda name: sets.select(F.col("v").alias(name), F.col("tokens").alias(f"{name}_tokens"))
+    whole = pairs.join(side("x"), "x").join(side("y"), "y")
     return cut_lineage(whole.select("x", "y", "x_tokens", "y_tokens").mapInArrow(verify, "x long, y long"))
 
 
@@ -338,7 +374,7 @@ def near_enough(percent):
 def set_components(docs, frequency, text="text", size=SIZE, percent=PERCENT, stars=1):
     """(v, root) of the sets that share tokens: components of all links."""
     shared = shared_tokens(docs, text, frequency, size, percent)
-    sets = sets_of(docs, text, shared, frequency, size, percent)
+    sketches = order_sketches(docs, text, shared, frequency, size, percent)
     links, labels = None, None
     for star in range(stars + 1):
         entries = shared if labels is None else shared.join(labels, "v")
@@ -358,13 +394,15 @@ def set_components(docs, frequency, text="text", size=SIZE, percent=PERCENT, sta
             smaller = entries.filter("low").join(open_tokens.select("token"), "token", "left_semi").select(
                 "token", "n", F.col("v").alias("x"), F.col("root").alias("x_root"))
         pairs = smaller.join(larger, "token").filter(near_enough(percent) & (F.col("x_root") != F.col("y_root"))).select("x", "y")
-        if star == stars:
-            pairs = pairs.distinct()
-        found = linked(pairs, sets, percent).select(F.col("x").alias("src"), F.col("y").alias("dst"))
+        passed, count = passing(cut_lineage(pairs.distinct()), sketches, percent)
+        if not count:
+            continue
+        sets = whole_sets(docs, text, passed.select(F.explode(F.array("x", "y")).alias("v")), frequency, size)
+        found = linked(passed, sets, percent).select(F.col("x").alias("src"), F.col("y").alias("dst"))
         links = found if links is None else links.union(found)
         labels = cut_lineage(
             connected_labels(shared.select(F.col("v").alias("vertex")).distinct(), links).select(F.col("vertex").alias("v"), "root"))
-    return labels
+    return shared.select("v", F.col("v").alias("root")).distinct() if labels is None else labels
 
 
 def near_duplicates(docs, key="doc_id", text="text", size=SIZE, percent=PERCENT, buckets=BUCKETS):

@@ -74,6 +74,20 @@ def test_first_tokens_share_one_for_every_similar_pair():
                     assert n - both < jaccard.near(n) and m - both < jaccard.far(m)
 
 
+def test_least_shared_holds_for_similar_pairs_under_any_order():
+    rng = random.Random(8)
+    for _ in range(3000):
+        n = rng.randint(1, 60)
+        both = rng.randint(1, n)
+        m = rng.randint(both, 70)
+        if 100 * both >= 85 * (n + m - both):
+            tokens = list(range(n + m - both))
+            rng.shuffle(tokens)
+            x, y = sorted(tokens[:n]), sorted(tokens[n - both:])
+            shared = set(x[:jaccard.far(n)]) & set(y[:jaccard.far(m)])
+            assert len(shared) >= jaccard.least_shared(n, m, 85)
+
+
 def test_odd_documents(odd, clashing, none):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     for docs in (odd, clashing):
