@@ -5,7 +5,7 @@ from functools import wraps
 import pyarrow as pa
 from pyspark.sql import types as T
 
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 4 << 20
 
 
 def sheltered(*internal):

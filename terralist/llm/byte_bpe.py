@@ -176,18 +176,16 @@ def decode_blocks(data, ids, block=BLOCK_IDS):
     yield b"", stream.close()
 
 
-def encode(docs, ranks, pattern, text="text", ids="ids", count="n_tokens"):
-    """``docs`` with the packed ids (binary) and their number."""
+def _encoded(ranks, pattern, text, ids, count):
     def batch(columns):
         machine = encoder(ranks, pattern)
         packed = [machine.encode(t) if t else b"" for t in columns[text].to_pylist()]
         return {ids: pa.array(packed, pa.binary()), count: pa.array([len(p) // 4 for p in packed], pa.int64())}
 
-    return map_batches(docs, batch, {ids: T.BinaryType(), count: T.LongType()}, reads=[text])
+    return batch, {ids: T.BinaryType(), count: T.LongType()}
 
 
-def decode(docs, ranks, ids="ids", decoded="decoded", text="decoded_text"):
-    """``docs`` with the bytes and the text its packed ids stand for."""
+def _decoded(ranks, ids, decoded, text):
     def batch(columns):
         raw, texts = [], []
         for packed in columns[ids].to_pylist():
@@ -196,4 +194,28 @@ def decode(docs, ranks, ids="ids", decoded="decoded", text="decoded_text"):
             texts.append("".join(p[1] for p in parts))
         return {decoded: pa.array(raw, pa.binary()), text: pa.array(texts, pa.string())}
 
-    return map_batches(docs, batch, {decoded: T.BinaryType(), text: T.StringType()}, reads=[ids])
+    return batch, {decoded: T.BinaryType(), text: T.StringType()}
+
+
+def encode(docs, ranks, pattern, text="text", ids="ids", count="n_tokens"):
+    """``docs`` with the packed ids (binary) and their number."""
+    batch, added = _encoded(ranks, pattern, text, ids, count)
+    return map_batches(docs, batch, added, reads=[text])
+
+
+def decode(docs, ranks, ids="ids", decoded="decoded", text="decoded_text"):
+    """``docs`` with the bytes and the text its packed ids stand for."""
+    batch, added = _decoded(ranks, ids, decoded, text)
+    return map_batches(docs, batch, added, reads=[ids])
+
+
+def round_trip(docs, ranks, pattern, text="text", ids="ids", count="n_tokens", decoded="decoded", decoded_text="decoded_text"):
+    """Both in one go through the same tasks: ids are decoded where they are made."""
+    first, new = _encoded(ranks, pattern, text, ids, count)
+    then, more = _decoded(ranks, ids, decoded, decoded_text)
+
+    def batch(columns):
+        made = first(columns)
+        return made | then(made)
+
+    return map_batches(docs, batch, new | more, reads=[text])

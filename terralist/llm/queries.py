@@ -37,8 +37,8 @@ def quality_rules(spark, folder):
 @query("op2_byte_bpe")
 def byte_bpe(spark, folder):
     ranks = op2.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    encoded = op2.encode(table(spark, folder, "documents", "doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    decoded = op2.decode(encoded.select("doc_id", "n_tokens", "ids"), ranks)
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    decoded = op2.round_trip(docs, ranks, public_tokenizers.PATTERN)
     return decoded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -76,7 +76,10 @@ def test_any_cut_of_the_ids_decodes():
 def test_odd_documents(odd, clashing, none):
     for docs in (odd, clashing):
         done = byte_bpe.decode(byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS)
-        rows = done.select("text", "ids", "n_tokens", "decoded", "decoded_text").collect()
+        names = ("text", "ids", "n_tokens", "decoded", "decoded_text")
+        rows = done.select(*names).collect()
+        together = byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN).select(*names).collect()
+        assert sorted(map(tuple, together), key=repr) == sorted(map(tuple, rows), key=repr)
         assert len(rows) == odd.count()
         for r in rows:
             text = r["text"] or ""
