@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from conftest import prose
+from samples import prose
 from terralist.llm import jaccard
 
 
