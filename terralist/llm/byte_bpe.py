@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from terralist.llm.batches import map_batches
 from terralist.llm.transducer import Transducer
 
-PIECES = 200_000
+PIECES = 350_000
 BLOCK_IDS = 1 << 16
 
 

@@ -49,7 +49,7 @@ class Transducer:
     they are counts.
     """
 
-    def __init__(self, ranks, value, zero, max_states=150_000, max_pairs=200_000):
+    def __init__(self, ranks, value, zero, max_states=250_000, max_pairs=400_000):
         self.ranks, self.value, self.zero = ranks, value, zero
         # 1: a token, 2: the beginning of a longer one, 3: both.
         self.kinds = dict.fromkeys(ranks, 1)
