@@ -4,11 +4,15 @@ Texts are lower-cased and cut into runs of letters; a model predicts each letter
 of a run, and its end, from up to four symbols before, never from before the
 start of the run.  All labelled training texts are counted: tasks add up the
 runs they see and send n-gram counts, so the shuffle follows the number of
-distinct n-grams.  The most frequent ``max_grams`` n-grams of each language make
-its model; their number bounds what is collected and broadcast.
+distinct n-grams.  Continuation counts, discounts, totals and back-off weights
+come from all of them, as Spark aggregates.
 
-The models are stored as sorted arrays of 64-bit hashes, one row per n-gram and
-one column per language.  The language with the lowest cross-entropy per symbol
+Finished models are sorted arrays of 64-bit hashes, one row per n-gram and one
+column per language.  Up to ``cells`` numbers are collected and broadcast; if a
+model has more, those of its most frequent n-grams are, and what a text has
+besides meets the whole model in a join, so scores do not depend on the bound.
+
+The language with the lowest cross-entropy per symbol
 wins.  Calibration measures, on a bounded sample of training texts, how
 cross-entropy spreads with length, and how high it is for other languages;
 texts outside of the spread that look no more like the language than texts of
@@ -26,12 +30,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Window, functions as F, types as T
+import pyarrow.compute as pc
+from pyspark.sql import functions as F, types as T
 
-from terralist.llm.batches import map_batches, pieces
+from terralist.llm.batches import map_batches, pieces, sheltered
+from terralist.session import cut_lineage
 
 ORDER = 5
-MAX_GRAMS = 100_000
+#: Bound of the broadcast tables: n-grams and contexts times languages.
+CELLS = 8_000_000
 CALIBRATION_TEXTS = 4000
 #: Rejection beyond so many standard deviations from the language's own texts.
 REJECT_AT = 8.0
@@ -96,10 +103,11 @@ def hashes(symbols, length):
 
 
 def _points(texts, width):
-    """Code points of texts, right-aligned in rows."""
+    """Code points of texts of one length, right-aligned in rows."""
     out = np.zeros((len(texts), width), np.uint64)
-    for i, t in enumerate(texts):
-        out[i, width - len(t):] = [ord(c) for c in t]
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    if len(points):
+        out[:, width - len(points) // len(texts):] = points.reshape(len(texts), -1)
     return out
 
 
@@ -147,7 +155,21 @@ class Models:
             stack = lambda d: np.array(list(d.values())).reshape(len(d), k).astype(np.float32)
             self.seen[order] = Table(hashes(_points(list(ratio), order), order), stack(ratio))
             self.context[order] = Table(hashes(_points(list(gamma), max(1, order - 1)), order - 1), stack(gamma))
-        self.means = self.spread = None
+        self.means = self.spread = self.foreign = self.entries = None
+
+    @classmethod
+    def of_entries(cls, languages, symbols, seen, context, entries=None):
+        """Models of finished numbers; ``entries`` is the whole model if the tables are a part of it."""
+        models = cls.__new__(cls)
+        models.languages, models.uniform = languages, 1.0 / (symbols + 1)
+        models.seen, models.context = seen, context
+        models.means = models.spread = models.foreign = None
+        models.entries = entries
+        return models
+
+    def __getstate__(self):
+        # Tasks need to know whether the tables are whole, not the data frame.
+        return self.__dict__ | {"entries": None if self.entries is None else True}
 
     @staticmethod
     def by_order(longest):
@@ -167,6 +189,14 @@ class Models:
 
     def score(self, words):
         """Natural log probability of each run in each language."""
+        return self.score_stored(words)[0]
+
+    def score_stored(self, words):
+        """(log probabilities of each run, open n-grams of each run).
+
+        An n-gram is open if the tables are a part of the model and lack it or one
+        of its lower orders; open n-grams add 0 here.
+        """
         sizes = np.array([len(w) + 1 for w in words])
         text = "".join(f"^{w}$" for w in words)
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
@@ -174,19 +204,29 @@ class Models:
         keep = np.ones(len(points), bool)
         keep[starts] = False
         at = np.flatnonzero(keep)
-        inside = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
+        begins = np.cumsum(sizes) - sizes
+        inside = np.arange(len(at)) - np.repeat(begins, sizes) + 1
         columns = np.stack([points[np.maximum(at - d, 0)] for d in range(ORDER - 1, -1, -1)], axis=1)
         p = np.full((len(at), len(self.languages)), self.uniform, np.float32)
+        left = np.zeros(len(at), bool)
         for order in range(1, ORDER + 1):
             deep = np.flatnonzero(inside >= order - 1)
             c = columns[deep]
             row, known = self.context[order].rows(hashes(c[:, :-1], order - 1))
+            left[deep[~known]] = True
             deep, c, row = deep[known], c[known], row[known]
             q = p[deep] * self.context[order].values[row]
             row, known = self.seen[order].rows(hashes(c, order))
+            left[deep[~known]] = True
             q[known] += self.seen[order].values[row[known]]
             p[deep] = q
-        return np.add.reduceat(np.log(p), np.cumsum(sizes) - sizes, axis=0)
+        logs, opened = np.log(p), [[] for _ in words]
+        if self.entries is not None and left.any():
+            logs[left] = 0
+            owner = np.repeat(np.arange(len(words)), sizes)
+            for i in np.flatnonzero(left).tolist():
+                opened[owner[i]].append(text[at[i] - min(ORDER - 1, inside[i]):at[i] + 1])
+        return np.add.reduceat(logs, begins, axis=0), opened
 
 
 class Scorer(dict):
@@ -195,23 +235,30 @@ class Scorer(dict):
     def __init__(self, models):
         self.models = models
         self.matrix = np.zeros((0, len(models.languages)), np.float32)
+        self.opened = []
 
     def texts(self, values):
-        """(symbols, log probability per language) of texts."""
+        """(symbols, log probability per language, runs) of texts."""
         found = [runs(v) if v else [] for v in values]
         if len(self) > CACHED:
             self.clear()
-            self.matrix = self.matrix[:0]
+            self.matrix, self.opened = self.matrix[:0], []
         new = [w for w in dict.fromkeys(w for f in found for w in f) if w not in self]
         if new:
             self.update(zip(new, range(len(self.matrix), len(self.matrix) + len(new)), strict=True))
-            self.matrix = np.concatenate([self.matrix, *(self.models.score(new[i:i + 50_000]) for i in range(0, len(new), 50_000))])
+            done = [self.models.score_stored(new[i:i + 50_000]) for i in range(0, len(new), 50_000)]
+            self.matrix = np.concatenate([self.matrix, *(m for m, _ in done)])
+            self.opened.extend(o for _, opened in done for o in opened)
         rows = np.fromiter((self[w] for f in found for w in f), np.int64)
         letters = np.fromiter((len(w) + 1 for f in found for w in f), np.int64)
         owner = np.repeat(np.arange(len(values)), [len(f) for f in found])
         symbols = np.bincount(owner, letters, len(values)).astype(np.int64)
         sums = np.stack([np.bincount(owner, self.matrix[rows, j], len(values)) for j in range(self.matrix.shape[1])], axis=1)
-        return symbols, sums
+        return symbols, sums, found
+
+    def open_grams(self, found):
+        """n-grams of a text's runs that the tables leave open, with their number."""
+        return Counter(g for w in found for g in self.opened[self[w]])
 
 
 @lru_cache(maxsize=2)
@@ -219,20 +266,141 @@ def _scorer(shared):
     return Scorer(shared.value)
 
 
-def fit(docs, text="text", label="lang", max_grams=MAX_GRAMS, calibration=CALIBRATION_TEXTS):
-    """The models of all languages that label a text; None if there is none."""
-    best = Window.partitionBy("label").orderBy(F.desc("n"), "gram")
-    counted = count_grams(docs, text, label).withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= max_grams)
-    counts = {}
-    for name, gram, n in zip(*counted.select("label", "gram", "n").toArrow().to_pydict().values(), strict=True):
-        counts.setdefault(name, {})[gram] = n
-    if not counts:
+def orders(counted):
+    """(label, gram, n, weight) of all orders from (label, gram, n) of the longest n-grams.
+
+    ``n`` is as in ``Models.by_order``.  ``weight`` is the largest count of a longest
+    n-gram that ends in ``gram``, so the entries above a weight hold all they need.
+    """
+    longest = counted.select("label", "gram", "n", F.col("n").alias("weight"))
+    starts = longest.filter(F.startswith("gram", F.lit("^")))
+    level = longest.filter(F.length("gram") == ORDER)
+    levels = [level]
+    for order in range(ORDER - 1, 0, -1):
+        lower = level.select("label", F.expr("substring(gram, 2)").alias("gram"), F.lit(1).cast("long").alias("n"), "weight")
+        own = starts.filter(F.length("gram") == order)
+        level = cut_lineage(lower.unionByName(own).groupBy("label", "gram").agg(F.sum("n").alias("n"), F.max("weight").alias("weight")))
+        levels.append(level)
+    return levels
+
+
+def build(counted, cells=CELLS):
+    """Models of (label, gram, n), all numbers from all n-grams; None if there are none."""
+    levels = orders(counted)
+    grams = levels[0]
+    for level in levels[1:]:
+        grams = grams.unionByName(level)
+    size = F.length("gram")
+    facts = grams.groupBy("label", size.alias("order")).agg(
+        F.sum((F.col("n") == 1).cast("long")).alias("ones"), F.sum((F.col("n") == 2).cast("long")).alias("twos")).collect()
+    if not facts:
         return None
-    models = Models(counts)
-    calibrate(models, docs, text, label, calibration)
+    languages = sorted({r["label"] for r in facts})
+    k = len(languages)
+    discounts = {(r["label"], r["order"]): r["ones"] / (r["ones"] + 2 * r["twos"]) if r["ones"] and r["twos"] else 0.75 for r in facts}
+    rows = [(name, order, languages.index(name), d) for (name, order), d in discounts.items()]
+    given = grams.sparkSession.createDataFrame(rows, "label string, order int, j int, discount double")
+    grams = grams.withColumn("order", size).join(F.broadcast(given), ["label", "order"]).drop("label")
+    grams = grams.withColumn("context", F.expr("left(gram, order - 1)"))
+    totals = grams.groupBy("j", "order", "context").agg(
+        F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"), F.max("weight").alias("weight"), F.first("discount").alias("discount"))
+    ratios = grams.join(totals.select("j", "order", "context", "total"), ["j", "order", "context"]).select(
+        F.lit(True).alias("symbol"), "order", "gram", "weight", "j", (F.greatest(F.col("n") - F.col("discount"), F.lit(0.0)) / F.col("total")).alias("value"))
+    gammas = totals.select(F.lit(False).alias("symbol"), "order", F.col("context").alias("gram"), "weight", "j", (F.col("discount") * F.col("kinds") / F.col("total")).alias("value"))
+    entries = cut_lineage(ratios.unionByName(gammas).groupBy("symbol", "order", "gram").agg(
+        F.max("weight").alias("weight"), F.collect_list(F.struct("j", "value")).alias("values")))
+    bins = entries.groupBy(F.floor(F.log2("weight")).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    symbols = entries.filter("symbol AND order = 1").count() + 2
+    number, low = 0, 64
+    for row in sorted(bins, key=lambda r: -r["b"]):
+        if (number + row["n"]) * k > cells:
+            break
+        number, low = number + row["n"], row["b"]
+    whole = number == sum(r["n"] for r in bins)
+    stored = entries if whole else entries.filter(F.col("weight") >= F.lit(float(2**low)))
+    tables, rows = {True: {}, False: {}}, stored.select("symbol", "order", "gram", "values").toArrow()
+    for order in range(1, ORDER + 1):
+        for symbol in (True, False):
+            part = rows.filter(pc.and_(pc.equal(rows["symbol"], symbol), pc.equal(rows["order"], order)))
+            values = np.full((part.num_rows, k), 0.0 if symbol else 1.0, np.float32)
+            if part.num_rows:
+                lists = part["values"].combine_chunks()
+                at = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy())
+                values[at, lists.flatten().field("j").to_numpy()] = lists.flatten().field("value").to_numpy()
+            length = order if symbol else order - 1
+            tables[symbol][order] = Table(hashes(_points(part["gram"].to_pylist(), max(1, length)), length), values)
+    return Models.of_entries(languages, symbols, tables[True], tables[False], None if whole else entries)
+
+
+def fit(docs, text="text", label="lang", cells=CELLS, calibration=CALIBRATION_TEXTS):
+    """The models of all languages that label a text; None if there is none."""
+    models = build(cut_lineage(count_grams(docs, text, label)), cells)
+    if models is not None:
+        calibrate(models, docs, text, label, calibration)
     return models
 
 
+def open_logs(grams, models):
+    """(gram, logs): log probability per language of longest n-grams, by joins with the whole model."""
+    entries, k, uniform = models.entries, len(models.languages), models.uniform
+    chain = grams.select("gram", F.explode(F.sequence(F.lit(1), F.length("gram"))).alias("order")).withColumns({
+        "own": F.expr("right(gram, order)"), "context": F.expr("left(right(gram, order), order - 1)")})
+    ratios = entries.filter("symbol").select(F.col("gram").alias("own"), F.col("values").alias("ratio"))
+    gammas = entries.filter("NOT symbol").select("order", F.col("gram").alias("context"), F.col("values").alias("gamma"))
+    found = chain.join(ratios, "own", "left").join(gammas, ["order", "context"], "left")
+    steps = found.groupBy("gram").agg(F.sort_array(F.collect_list(F.struct("order", "ratio", "gamma"))).alias("steps"))
+
+    def run(batches):
+        for batch in batches:
+            logs = []
+            for steps in batch.column("steps").to_pylist():
+                p = np.full(k, uniform)
+                for step in steps:
+                    if step["gamma"] is None:
+                        continue
+                    for e in step["gamma"]:
+                        p[e["j"]] *= e["value"]
+                    for e in step["ratio"] or ():
+                        p[e["j"]] += e["value"]
+                logs.append(np.log(p))
+            yield pa.RecordBatch.from_arrays([batch.column("gram"), pa.array(logs, pa.list_(pa.float64()))], names=["gram", "logs"])
+
+    return steps.mapInArrow(run, "gram string, logs array<double>")
+
+
+SUMS = {"_symbols": T.LongType(), "_sums": T.ArrayType(T.DoubleType())}
+
+
+def with_sums(docs, models, text="text"):
+    """``docs`` with ``_symbols`` and ``_sums``: log probability per language, by joins where the tables leave it open."""
+    shared = docs.sparkSession.sparkContext.broadcast(models)
+
+    def stored(columns):
+        symbols, sums, found = _scorer(shared).texts(columns[text].to_pylist())
+        return {"_symbols": pa.array(symbols, pa.int64()), "_sums": pa.array(list(sums), pa.list_(pa.float64()))}, found
+
+    if models.entries is None:
+        return map_batches(docs, lambda columns: stored(columns)[0], SUMS, reads=[text])
+
+    def partly(columns):
+        out, found = stored(columns)
+        opened = [list(_scorer(shared).open_grams(f).items()) for f in found]
+        return out | {"_open": pa.array([[{"gram": g, "n": n} for g, n in o] for o in opened], pa.list_(pa.struct([("gram", pa.string()), ("n", pa.int64())])))}
+
+    kind = T.ArrayType(T.StructType([T.StructField("gram", T.StringType()), T.StructField("n", T.LongType())]))
+    # Equal texts share a key and their sums.
+    key = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    begun = cut_lineage(map_batches(docs.select(text, key.alias("_key")), partly, SUMS | {"_open": kind}, reads=[text]).drop(text).dropDuplicates(["_key"]))
+    asked = begun.select("_key", F.explode("_open").alias("o")).select("_key", "o.gram", "o.n")
+    logs = open_logs(asked.select("gram").distinct(), models)
+    parts = asked.join(logs, "gram").select("_key", "n", F.posexplode("logs").alias("j", "log"))
+    more = parts.groupBy("_key", "j").agg(F.sum(F.col("n") * F.col("log")).alias("more"))
+    more = more.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("j", "more"))).alias("_more"))
+    sums = F.when(F.col("_more").isNull(), F.col("_sums")).otherwise(F.zip_with("_sums", "_more", lambda s, m: s + m["more"]))
+    done = begun.join(more, "_key", "left").select("_key", "_symbols", sums.alias("_sums"))
+    return docs.withColumn("_key", key).join(done, "_key").drop("_key")
+
+
 def calibrate(models, docs, text, label, limit):
     """Mean of the cross-entropy in a language's own texts, and how its variance falls with length."""
     labelled = docs.filter(F.col(text).isNotNull() & F.col(label).isNotNull())
@@ -263,16 +431,11 @@ def calibrate(models, docs, text, label, limit):
 
 def entropies(docs, models, text="text"):
     """``docs`` with ``symbols`` and ``entropy``, one number per language."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-
-    def batch(columns):
-        symbols, sums = _scorer(shared).texts(columns[text].to_pylist())
-        per = -sums / np.maximum(symbols, 1)[:, None]
-        return {"symbols": pa.array(symbols, pa.int64()), "entropy": pa.array(list(per), pa.list_(pa.float64()))}
-
-    return map_batches(docs, batch, {"symbols": T.LongType(), "entropy": T.ArrayType(T.DoubleType())}, reads=[text])
+    per = F.transform("_sums", lambda s: -s / F.greatest(F.col("_symbols"), F.lit(1)))
+    return with_sums(docs, models, text).withColumns({"symbols": F.col("_symbols"), "entropy": per}).drop(*SUMS)
 
 
+@sheltered("_key", "_symbols", "_sums")
 def identify(docs, models, text="text"):
     """``docs`` with ``lang_pred``, ``score`` (0 to 1), ``entropy`` of the choice and ``rejected``."""
     if models is None:
@@ -280,30 +443,35 @@ def identify(docs, models, text="text"):
             "lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "entropy": F.lit(None).cast("double"), "rejected": F.lit(True),
         })
     shared = docs.sparkSession.sparkContext.broadcast(models)
-
-    def batch(columns):
-        found = shared.value
-        symbols, sums = _scorer(shared).texts(columns[text].to_pylist())
-        h = -sums / np.maximum(symbols, 1)[:, None]
-        best = h.argmin(axis=1)
-        rows = np.arange(len(h))
-        weight = np.minimum(symbols, EVIDENCE)[:, None]
-        score = 1 / np.exp(np.minimum(-(h - h[rows, best][:, None]) * weight, 0)).sum(axis=1)
-        base, short = found.spread[best].T
-        limit = found.means[best] + REJECT_AT * np.sqrt(base + short / np.maximum(symbols, 1))
-        limit = np.maximum(limit, found.foreign[best])
-        none = symbols == 0
-        names = np.array([*found.languages, UNKNOWN], dtype=object)
-        return {
-            "lang_pred": pa.array(names[np.where(none, len(found.languages), best)], pa.string()),
-            "score": pa.array(np.where(none, 0.0, score), pa.float64()),
-            "entropy": pa.array(h[rows, best], pa.float64(), mask=none),
-            "rejected": pa.array(none | (h[rows, best] > limit), pa.bool_()),
-        }
-
-    return map_batches(docs, batch, {
-        "lang_pred": T.StringType(), "score": T.DoubleType(), "entropy": T.DoubleType(), "rejected": T.BooleanType(),
-    }, reads=[text])
+    added = {"lang_pred": T.StringType(), "score": T.DoubleType(), "entropy": T.DoubleType(), "rejected": T.BooleanType()}
+    if models.entries is None:
+        return map_batches(docs, lambda columns: judged(shared.value, *_scorer(shared).texts(columns[text].to_pylist())[:2]), added, reads=[text])
+
+    def joined(columns):
+        sums = columns["_sums"].flatten().to_numpy().reshape(len(columns["_sums"]), -1)
+        return judged(shared.value, columns["_symbols"].to_numpy(), sums)
+
+    return map_batches(with_sums(docs, models, text), joined, added, reads=list(SUMS)).drop(*SUMS)
+
+
+def judged(models, symbols, sums):
+    """The added columns, from the number of symbols and the log probability per language."""
+    h = -sums / np.maximum(symbols, 1)[:, None]
+    best = h.argmin(axis=1)
+    rows = np.arange(len(h))
+    weight = np.minimum(symbols, EVIDENCE)[:, None]
+    score = 1 / np.exp(np.minimum(-(h - h[rows, best][:, None]) * weight, 0)).sum(axis=1)
+    base, short = models.spread[best].T
+    limit = models.means[best] + REJECT_AT * np.sqrt(base + short / np.maximum(symbols, 1))
+    limit = np.maximum(limit, models.foreign[best])
+    none = symbols == 0
+    names = np.array([*models.languages, UNKNOWN], dtype=object)
+    return {
+        "lang_pred": pa.array(names[np.where(none, len(models.languages), best)], pa.string()),
+        "score": pa.array(np.where(none, 0.0, score), pa.float64()),
+        "entropy": pa.array(h[rows, best], pa.float64(), mask=none),
+        "rejected": pa.array(none | (h[rows, best] > limit), pa.bool_()),
+    }
 
 
 def fold(key, parts):
