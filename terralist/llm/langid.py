@@ -13,10 +13,10 @@ model has more, those of its most frequent n-grams are, and what a text has
 besides meets the whole model in a join, so scores do not depend on the bound.
 
 The language with the lowest cross-entropy per symbol
-wins.  Calibration measures, on a bounded sample of training texts, how
-cross-entropy spreads with length, and how high it is for other languages;
-texts outside of the spread that look no more like the language than texts of
-other languages do are rejected.
+wins.  Calibration measures, on a bounded number of distinct texts of every
+language, scored by models that have not counted them, how cross-entropy spreads
+with length, and how near the texts of other languages come whose own model is
+left out; texts are rejected beyond a limit between the two.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0
 and rejected; ties go to the language first in code point order; without any
@@ -31,7 +31,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Window, functions as F, types as T
 
 from terralist.llm.batches import map_batches, pieces, sheltered
 from terralist.session import cut_lineage
@@ -39,8 +39,11 @@ from terralist.session import cut_lineage
 ORDER = 5
 #: Bound of the broadcast tables: n-grams and contexts times languages.
 CELLS = 8_000_000
-CALIBRATION_TEXTS = 4000
-#: Rejection beyond so many standard deviations from the language's own texts.
+#: Distinct texts per language that calibrate.
+CALIBRATION_TEXTS = 1000
+#: Fewer texts than this have no spread of their own; the least spread, as a share of the mean.
+LEAST_TEXTS, LEAST_SPREAD = 8, 0.01
+#: Rejection beyond so many standard deviations where no other language tells; half of it at least.
 REJECT_AT = 8.0
 #: Letters of evidence after which the score no longer grows.
 EVIDENCE = 30
@@ -155,7 +158,7 @@ class Models:
             stack = lambda d: np.array(list(d.values())).reshape(len(d), k).astype(np.float32)
             self.seen[order] = Table(hashes(_points(list(ratio), order), order), stack(ratio))
             self.context[order] = Table(hashes(_points(list(gamma), max(1, order - 1)), order - 1), stack(gamma))
-        self.means = self.spread = self.foreign = self.entries = None
+        self.means = self.spread = self.limits = self.entries = None
 
     @classmethod
     def of_entries(cls, languages, symbols, seen, context, entries=None):
@@ -163,7 +166,7 @@ class Models:
         models = cls.__new__(cls)
         models.languages, models.uniform = languages, 1.0 / (symbols + 1)
         models.seen, models.context = seen, context
-        models.means = models.spread = models.foreign = None
+        models.means = models.spread = models.limits = None
         models.entries = entries
         return models
 
@@ -334,9 +337,10 @@ def build(counted, cells=CELLS):
 
 def fit(docs, text="text", label="lang", cells=CELLS, calibration=CALIBRATION_TEXTS):
     """The models of all languages that label a text; None if there is none."""
-    models = build(cut_lineage(count_grams(docs, text, label)), cells)
+    counted = cut_lineage(count_grams(docs, text, label))
+    models = build(counted, cells)
     if models is not None:
-        calibrate(models, docs, text, label, calibration)
+        calibrate(models, docs, counted, text, label, calibration, cells)
     return models
 
 
@@ -401,32 +405,68 @@ def with_sums(docs, models, text="text"):
     return docs.withColumn("_key", key).join(done, "_key").drop("_key")
 
 
-def calibrate(models, docs, text, label, limit):
-    """Mean of the cross-entropy in a language's own texts, and how its variance falls with length."""
-    labelled = docs.filter(F.col(text).isNotNull() & F.col(label).isNotNull())
-    total = labelled.count()
-    share = min(1.0, limit / max(1, total))
-    part = labelled.filter(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    rows = entropies(part.select(label, text), models, text).select(label, "symbols", "entropy").filter("symbols > 0").limit(4 * limit)
-    data = rows.toArrow().to_pydict()
+def held_out(docs, text, label, limit):
+    """The labelled rows that calibrate: per language up to ``limit`` distinct texts, a fourth at most, by the order of a hash."""
+    rows = docs.filter(F.col(text).isNotNull() & F.col(label).isNotNull()).select(label, text).withColumn("_hash", F.xxhash64(text))
+    numbers = rows.groupBy(label).agg(F.approx_count_distinct("_hash").alias("_n"))
+    # Enough of the smallest hashes, by a bound that leaves few of a long list to sort.
+    bound = F.lit(-(2.0**63)) + F.lit(2.0**64) * F.least(F.lit(1.0), F.lit(4.0 * limit) / F.col("_n"))
+    few = rows.join(F.broadcast(numbers), label).filter(F.col("_hash") <= bound).select(label, "_hash", "_n").distinct()
+    ranked = few.withColumn("_rank", F.row_number().over(Window.partitionBy(label).orderBy("_hash")))
+    chosen = cut_lineage(ranked.filter((F.col("_rank") <= limit) & (F.col("_rank") <= F.ceil(F.col("_n") / 4)) & (F.col("_n") > 1)).select(label, "_hash"))
+    return cut_lineage(rows.join(chosen, [label, "_hash"], "left_semi"))
+
+
+def calibrate(models, docs, counted, text, label, limit, cells=CELLS):
+    """Per language: mean cross-entropy of its texts, how the variance falls with length, and the limit in standard deviations.
+
+    The texts are scored by models that have not counted them.
+    """
+    part = held_out(docs, text, label, limit)
+    less = count_grams(part, text, label).withColumn("n", -F.col("n"))
+    rest = counted.unionByName(less).groupBy("label", "gram").agg(F.sum("n").alias("n")).filter("n > 0")
+    trial = build(cut_lineage(rest), cells)
     k = len(models.languages)
-    models.means, models.spread, models.foreign = np.zeros(k), np.ones((k, 2)), np.zeros(k)
-    names = np.array(data[label], dtype=object)
+    models.means, models.spread, models.limits = np.full(k, -np.log(models.uniform)), np.zeros((k, 2)), np.zeros(k)
+    if trial is None:
+        return
+    one = entropies(part.dropDuplicates([label, "_hash"]).select(label, text), trial, text).filter("symbols > 0")
+    place = F.array_position(F.array([F.lit(x) for x in trial.languages]), F.col(label)).cast("int")
+    others = F.filter(F.transform("entropy", lambda h, i: F.struct(h.alias("h"), (i + 1).alias("i"))), lambda e: e["i"] != F.col("_own"))
+    scored = one.withColumn("_own", place).filter("_own > 0").select(
+        label, "symbols", F.element_at("entropy", F.col("_own")).alias("h"), F.array_min(others).alias("o"))
+    data = scored.select(label, "symbols", "h", F.col("o.h").alias("other"), F.element_at(F.array([F.lit(x) for x in trial.languages]), F.col("o.i").cast("int")).alias("nearest")).toArrow().to_pydict()
+    names, nearest = np.array(data[label], dtype=object), np.array(data["nearest"], dtype=object)
+    n, h = np.array(data["symbols"], float), np.array(data["h"], float)
+    other = np.array([np.inf if x is None else x for x in data["other"]], float)
+    # Texts that look more like another language say nothing about those judged to be in their own.
+    good = h <= other
+    means = {name: np.average(h[own], weights=n[own]) for name in models.languages if (own := good & (names == name)).any()}
+    if not means:
+        return
+    level = np.array([means.get(name, np.nan) for name in names], float)
     for j, name in enumerate(models.languages):
-        own = np.flatnonzero(names == name)
-        n = np.array([data["symbols"][i] for i in own], float)
-        h = np.array([data["entropy"][i][j] for i in own], float)
-        if len(own) < 8:
-            models.means[j], models.spread[j] = np.inf, (0, 0)
-            continue
-        models.means[j] = np.average(h, weights=n)
-        others = np.flatnonzero(names != name)
-        weights = [data["symbols"][i] for i in others]
-        models.foreign[j] = np.average([data["entropy"][i][j] for i in others], weights=weights) if len(others) else 2 * models.means[j]
-        squares = (h - models.means[j]) ** 2
-        long = n >= np.median(n)
+        own = good & (names == name)
+        mean = means.get(name, max(means.values()))
+        if own.sum() < LEAST_TEXTS:
+            # Too few for a spread of their own: the deviations of all languages, to scale.
+            own = good
+            sizes, values = n[own], h[own] * mean / level[own]
+        else:
+            sizes, values = n[own], h[own]
+        squares = (values - mean) ** 2
+        long = sizes >= np.median(sizes)
         base = squares[long].mean()
-        models.spread[j] = base, max(0.0, ((squares - base) * n)[~long].mean()) if (~long).any() else base
+        short = max(0.0, ((squares - base) * sizes)[~long].mean()) if (~long).any() else base
+        floor = (mean * LEAST_SPREAD) ** 2
+        models.means[j], models.spread[j] = mean, (max(base, floor), max(short, floor))
+        deviations = lambda x, size: (x - mean) / np.sqrt(models.spread[j][0] + models.spread[j][1] / size)  # noqa: B023, E731
+        high = max(REJECT_AT / 2, np.quantile(deviations(values, sizes), 0.999))
+        foreign = (names != name) & (n >= EVIDENCE) & np.isfinite(other)
+        if (foreign & (nearest == name)).sum() >= LEAST_TEXTS:
+            foreign &= nearest == name
+        low = np.quantile(deviations(other[foreign], n[foreign]), 0.01) if foreign.any() else np.inf
+        models.limits[j] = (low + high) / 2 if high < low < np.inf else high if low < np.inf else max(high, REJECT_AT)
 
 
 def entropies(docs, models, text="text"):
@@ -462,8 +502,7 @@ def judged(models, symbols, sums):
     weight = np.minimum(symbols, EVIDENCE)[:, None]
     score = 1 / np.exp(np.minimum(-(h - h[rows, best][:, None]) * weight, 0)).sum(axis=1)
     base, short = models.spread[best].T
-    limit = models.means[best] + REJECT_AT * np.sqrt(base + short / np.maximum(symbols, 1))
-    limit = np.maximum(limit, models.foreign[best])
+    limit = models.means[best] + models.limits[best] * np.sqrt(base + short / np.maximum(symbols, 1))
     none = symbols == 0
     names = np.array([*models.languages, UNKNOWN], dtype=object)
     return {
