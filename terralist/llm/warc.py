@@ -266,17 +266,24 @@ def next_start(window, offset):
 
 
 def read_range(window, start, end):
-    """Records that start in [start, end), and gaps after them: (kind, offset, end, ...)."""
-    at = start if start == 0 else next_start(window, start)
-    while at < min(end, window.size):
+    """Records that start in [start, end), and gaps after them: (kind, offset, end, ...).
+
+    A gap right after the last record belongs to this range even if it starts
+    beyond ``end``: the range it starts in only looks for its first valid record.
+    """
+    at, after = (start if start == 0 else next_start(window, start)), False
+    while at < window.size and (at < end or after):
         try:
             fields, payload, stop = read_record(window, at)
-            yield "record", at, stop, fields, payload
-            at = stop
         except Broken as problem:
             resumed = next_start(window, at + 1)
             yield "gap", at, resumed, {"reason": str(problem)}, b""
-            at = resumed
+            at, after = resumed, False
+            continue
+        if at >= end:
+            return
+        yield "record", at, stop, fields, payload
+        at, after = stop, True
 
 
 def read_archives(manifest, payload=True, split_bytes=SPLIT_BYTES):

@@ -103,3 +103,21 @@ def test_salvage(tmp_path, compress):
     for step in (997, 4096):
         parts = [x[:3] for s in range(0, len(data), step) for x in warc.read_range(warc.Window(io.BytesIO(bytes(data)), len(data)), s, s + step)]
         assert [p for p in parts if p[0] == "record"] == [x[:3] for x in read if x[0] == "record"]
+
+
+@pytest.mark.parametrize("compress", [True, False])
+def test_gaps_at_range_borders(compress):
+    import io
+
+    rng = random.Random(11)
+    parts = [warc.record_bytes(i, f"http://x/{i}", f"page {i} ".encode() * rng.randint(5, 400)) for i in range(30)]
+    parts = [warc.member(r) if compress else r for r in parts]
+    starts = np.cumsum([0] + [len(p) for p in parts])
+    data = bytearray(b"".join(parts))
+    for i in (0, 4, 9, 10, 11, 20, 29):
+        data[starts[i]:starts[i] + 4] = b"JUNK"
+    found = lambda s, e: [x[:3] for x in warc.read_range(warc.Window(io.BytesIO(bytes(data)), len(data)), s, e)]
+    whole = found(0, len(data))
+    assert sum(b - a for _, a, b in whole) == len(data) and sum(k == "gap" for k, _, _ in whole) == 5
+    for step in (int(starts[4]), int(starts[9]) - 1, 301, 997, 4096):
+        assert [x for s in range(0, len(data), step) for x in found(s, s + step)] == whole
