@@ -13,8 +13,8 @@ of bounded size.  Sums are whole numbers and exact.
 
 Defined results: vectors that are null, or hold a null or non-finite component,
 take no part, nor do rows without an id; a component a vector lacks counts as 0;
-rows repeating an id count as one, the one with the smallest vector; ties go to
-the smaller id; an empty table gives an empty result.
+rows equal in id and vector count as one, other rows that repeat an id are each a
+candidate and a query, and their id has one list of k; ties go to the smaller id; an empty table gives an empty result.
 """
 
 import numpy as np
@@ -28,11 +28,12 @@ PROBED = 8
 
 
 def whole_vectors(df, key="vec_id", vector="embedding", scale=64):
-    """(id, x): one vector of whole numbers per id."""
-    scaled = F.transform(vector, lambda v: F.floor(F.lit(float(scale)) * v.cast("double")))
+    """(id, x): one vector of whole numbers per distinct id and vector."""
+    scaled = F.transform("vector", lambda v: F.floor(F.lit(float(scale)) * v.cast("double")))
     bad = F.exists(vector, lambda v: v.isNull() | F.isnan(v.cast("double")) | (F.abs(v.cast("double")) == float("inf")))
     sound = df.filter(F.col(key).isNotNull() & F.col(vector).isNotNull() & ~F.coalesce(bad, F.lit(True)))
-    return sound.select(F.col(key).cast("long").alias("id"), scaled.alias("x")).groupBy("id").agg(F.min("x").alias("x"))
+    rows = sound.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector")).distinct()
+    return rows.select("id", scaled.alias("x"))
 
 
 def matrix(lists, width=None):
@@ -131,7 +132,7 @@ def top_k(vectors, is_query, k=20, shard_rows=SHARD_ROWS, query_rows=QUERY_ROWS)
     """
     total, asked = vectors.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1))).first()
     shards, blocks = max(1, -(-total // shard_rows)), max(1, -(-asked // query_rows))
-    slot = lambda seed, n: F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), F.lit(n))
+    slot = lambda seed, n: F.pmod(F.xxhash64(F.col("id"), F.col("x"), F.lit(seed)), F.lit(n))
     packed = F.collect_list(F.struct("id", "x"))
     docs = vectors.groupBy(slot(1, shards).alias("shard")).agg(packed.alias("docs"))
     queries = vectors.filter(is_query).groupBy(slot(2, blocks).alias("block")).agg(packed.alias("queries"))

@@ -27,6 +27,13 @@ def test_top_k_against_all_pairs(spark):
         assert got[q] == [(k + 1, c, -s) for k, (s, c) in enumerate(scores[:7])]
 
 
+def test_rows_that_repeat_an_id(spark):
+    rows = [(0, [1.0]), (0, [-2.0]), (1, [3.0]), (1, [-5.0]), (1, [3.0]), (2, [4.0])]
+    vectors = maxscore.whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = maxscore.top_k(vectors, F.col("id") % 20 == 0, k=4, shard_rows=2, query_rows=1).orderBy("rank").select("vec_id", "score").collect()
+    assert got == [(1, 10 * 4096), (2, 4 * 4096), (1, 3 * 4096), (1, -5 * 4096)]
+
+
 def test_few_and_no_vectors(spark):
     small = maxscore.whole_vectors(spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>"))
     assert maxscore.top_k(small, F.col("id") % 20 == 0).select("vec_id", "score").collect() == [(1, 8192)]
