@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from terralist.llm import (
-    byte_bpe as op2, jaccard as op1, langid as op7, maxscore as op8, mixing as op4, piece_count as op10, quality as op9, recurrent_lm as op6, suffix_dedup as op5, warc as op3,
+    byte_bpe as op2, jaccard as op1, langid as op7, maxscore as op8, mixing as op4, piece_agenda as op13, piece_count as op10, quality as op9, recurrent_lm as op6, suffix_dedup as op5, warc as op3,
 )
 from terralist.llm.words import word_count
 
@@ -103,3 +103,13 @@ def recurrent_lm(spark, folder):
     return op6.score_documents(docs, ~F.col("held_out")).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score",
     )
+
+
+@query("op13_piece_agenda")
+def piece_agenda(spark, folder):
+    model = op10.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    coded = op13.round_trip(table(spark, folder, "documents", "doc_id", "text"), model, check="library_agrees")
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded_text", 256).alias("decoded_sha256"), "library_agrees",
+    )
