@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from terralist.llm import (
-    byte_bpe as op2, jaccard as op1, langid as op7, maxscore as op8, mixing as op4, piece_agenda as op13, piece_count as op10, quality as op9, recurrent_lm as op6, suffix_dedup as op5, warc as op3,
+    byte_bpe as op2, jaccard as op1, langid as op7, maxscore as op8, mixing as op4, periodic_runs as op12, piece_agenda as op13, piece_count as op10, quality as op9, recurrent_lm as op6, suffix_dedup as op5, warc as op3,
 )
 from terralist.llm.words import word_count
 
@@ -113,3 +113,14 @@ def piece_agenda(spark, folder):
         "doc_id", "n_tokens", F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
         F.sha2("decoded_text", 256).alias("decoded_sha256"), "library_agrees",
     )
+
+
+@query("op12_periodic_runs")
+def periodic_runs(spark, folder):
+    docs = table(spark, folder, "documents", "doc_id", op12.repeat_words(F.col("text"), F.col("doc_id")).alias("text"))
+    found = op12.periodic_runs(docs).withColumn("best", op12.longest_run(F.col("runs")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(op12.run_lines(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
