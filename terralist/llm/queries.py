@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from terralist.llm import (
-    byte_bpe as op2, jaccard as op1, langid as op7, maxscore as op8, mixing as op4, periodic_runs as op12, piece_agenda as op13, piece_count as op10, quality as op9, recurrent_lm as op6, suffix_dedup as op5, warc as op3,
+    byte_bpe as op2, conversation_repair as op11, jaccard as op1, langid as op7, maxscore as op8, mixing as op4, periodic_runs as op12, piece_agenda as op13, piece_count as op10, quality as op9, recurrent_lm as op6, suffix_dedup as op5, warc as op3,
 )
 from terralist.llm.words import word_count
 
@@ -124,3 +124,14 @@ def periodic_runs(spark, folder):
         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
         F.sha2(op12.run_lines(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query("op11_conversation_repair")
+def conversation_repair(spark, folder):
+    given = table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
+    ordered = op11.ordered_rows(op11.damage(given))
+    edited = op11.edits(op11.row_blocks(ordered))
+    ids = given.select(F.col("conv_id").alias("conv")).distinct()
+    return op11.summary(ids, ordered, edited).select(
+        F.col("conv").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256",
+    )
