@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from terralist import constants as K
 from terralist.operators.shaping import align
 from terralist.session import cut_lineage
+from terralist.sources.ranges import csv_ranges
 
 
 # --- discovery ------------------------------------------------------------------
@@ -251,8 +252,9 @@ def plain_csv(spark: SparkSession, paths, schema, *, delimiter=None, strict=True
     Values are read as text, null tokens become null, then types are applied.
     ``strict`` raises on a row with another number of fields and on a value
     that does not fit; otherwise extra fields are dropped, short rows filled
-    and bad values null.  Quoted fields may hold line ends; where none does,
-    ``multiline=False`` lets Spark split large files.
+    and bad values null.  Quoted fields may hold line ends: a large file is read in
+    ranges over many tasks.  Where no field does, ``multiline=False`` saves the passes
+    that find the quotes.
     """
     if delimiter is None:
         # One row per file.
@@ -265,10 +267,13 @@ def plain_csv(spark: SparkSession, paths, schema, *, delimiter=None, strict=True
         ]
         return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
     fields = spark.createDataFrame([], schema).schema.fields
-    text = ", ".join(f"`{f.name}` string" for f in fields)
-    reader = spark.read.schema(text).option("header", "true").option("sep", delimiter).option("escape", '"')
-    reader = reader.option("multiLine", multiline).option("mode", "FAILFAST" if strict else "PERMISSIVE")
-    rows = null_tokens(reader.csv(paths), tokens)
+    if multiline:
+        rows = csv_ranges(spark, paths, [f.name for f in fields], separator=delimiter, strict=strict)
+    else:
+        text = ", ".join(f"`{f.name}` string" for f in fields)
+        reader = spark.read.schema(text).option("header", "true").option("sep", delimiter).option("escape", '"')
+        rows = reader.option("mode", "FAILFAST" if strict else "PERMISSIVE").csv(paths)
+    rows = null_tokens(rows, tokens)
 
     def value(f):
         cast = F.col(f.name).try_cast(f.dataType)
