@@ -267,8 +267,10 @@ def repeat_words(text, key):
     n, g = F.size(words).cast("long"), F.floor(h / 10)
     a = g % n
     p = 1 + F.floor((n - a) / (3 + g % 8))
-    places = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
-    periodic = F.array_join(F.transform(places, lambda i: F.get(words, i.cast("int"))), " ")
+    times = F.ceil((n - a) / p)
+    period = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+    repeated = F.slice(F.flatten(F.array_repeat(period, times.cast("int"))), 1, (n - a).cast("int"))
+    periodic = F.array_join(F.concat(F.slice(words, 1, a.cast("int")), repeated), " ")
     return F.when((h % 10 == 0) & (n > 0), periodic).otherwise(text)
 
 
