@@ -2,7 +2,7 @@
 
 For merge-type vocabularies.  The symbols of a text stand in a linked list; an
 agenda holds every adjacent pair that is a piece, best score first and leftmost
-among equal scores.  The best pair is taken off and joined, its neighbours enter
+among equal scores (a heap; for a short word a list).  The best pair is taken off and joined, its neighbours enter
 as new pairs, and pairs whose symbols have changed meanwhile are passed over when
 they come up.  A symbol left over that is no piece is written as its bytes.
 
@@ -33,8 +33,8 @@ from pyspark.sql import types as T
 from terralist.llm.batches import map_batches
 
 #: Units kept per worker, in each of two generations.
-UNITS = 150_000
-#: Longer units are first cut where nothing joins.
+UNITS = 500_000
+#: Longer units are first cut where nothing joins, and have a heap for their agenda.
 SHORT = 24
 #: Fixed values of the library: how a space is written, and what stands for the unknown piece.
 SPACE_MARK = "▁"
@@ -76,6 +76,28 @@ class Vocabulary:
                 self.surface[i] = UNKNOWN_SURFACE.encode()
 
 
+NONE = 1 << 60
+
+
+def merge_short(ranks, text):
+    """The pieces of a short ``text``: its agenda is a list by place, searched for the best entry."""
+    parts, rank = list(text), ranks.get
+    agenda = [rank(a + b, NONE) for a, b in zip(text, text[1:], strict=False)]
+    while agenda:
+        best = min(agenda)
+        if best == NONE:
+            break
+        i = agenda.index(best)
+        joined = parts[i] + parts[i + 1]
+        parts[i:i + 2] = [joined]
+        del agenda[i]
+        if i:
+            agenda[i - 1] = rank(parts[i - 1] + joined, NONE)
+        if i < len(agenda):
+            agenda[i] = rank(joined + parts[i + 1], NONE)
+    return parts
+
+
 def merge(ranks, text):
     """Starts of the pieces of ``text`` after all merges, and its end."""
     n = len(text)
@@ -143,15 +165,19 @@ class Encoder(dict):
         return b"".join([self[unit[a:b]] for a, b in zip([0, *cuts], [*cuts, len(unit)], strict=True)])
 
     def merged(self, part):
-        ids, spelled, out = self.vocabulary.ids, self.vocabulary.bytes, array("i")
-        bounds = merge(self.vocabulary.ranks, part)
-        for a, b in zip(bounds, bounds[1:], strict=False):
-            found = ids.get(part[a:b])
-            if found is None:
-                out.extend(map(spelled.__getitem__, part[a:b].encode("utf-8", "surrogatepass")))
-            else:
-                out.append(found)
-        return out.tobytes()
+        ids, spelled = self.vocabulary.ids, self.vocabulary.bytes
+        if len(part) <= SHORT:
+            pieces = merge_short(self.vocabulary.ranks, part)
+        else:
+            bounds = merge(self.vocabulary.ranks, part)
+            pieces = [part[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+        try:
+            return array("i", map(ids.__getitem__, pieces)).tobytes()
+        except KeyError:
+            out = array("i")
+            for p in pieces:
+                out.extend((ids[p],) if p in ids else map(spelled.__getitem__, p.encode("utf-8", "surrogatepass")))
+            return out.tobytes()
 
     def encode(self, text):
         """Ids of a text as 32-bit integers of the machine's byte order, packed."""

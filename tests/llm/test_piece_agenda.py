@@ -50,6 +50,7 @@ def test_agenda_takes_the_best_pair_and_the_leftmost_among_equals(text, scored):
         parts[i:i + 2] = [parts[i] + parts[i + 1]]
     bounds = piece_agenda.merge(ranks, text)
     assert [text[a:b] for a, b in zip(bounds, bounds[1:], strict=False)] == parts
+    assert piece_agenda.merge_short(ranks, text) == parts
 
 
 def test_odd_documents(odd, clashing, none):
