@@ -4,16 +4,20 @@ import csv
 import io
 import zipfile
 from functools import reduce
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from terralist import constants as K
 from terralist.operators.shaping import align
-from terralist.session import cut_lineage
+from terralist.session import cut_lineage, spread
 from terralist.sources.ranges import csv_ranges
 
 
+#: At most so many tasks read the members of archives.
+MEMBER_TASKS = 100_000
+
 # --- discovery ------------------------------------------------------------------
 
 
@@ -138,15 +142,46 @@ def typed(df: DataFrame, columns, types, tokens=None) -> DataFrame:
     return align(null_tokens(df, tokens), columns, types)
 
 
-def _members(columns):
-    """Task function: the CSV rows of each archive, a bounded batch at a time."""
+def open_seekable(path):
+    """A file as a stream that can seek; only what is read travels."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        source, name = fs.LocalFileSystem(), unquote("/" + path.removeprefix("file:").lstrip("/"))
+    elif "://" in path:
+        source, name = fs.FileSystem.from_uri(path)
+    else:
+        source, name = fs.LocalFileSystem(), path
+    return io.BufferedReader(source.open_input_file(name), 1 << 20)
+
+
+def archive_members(spark: SparkSession, paths, suffix=".csv") -> DataFrame:
+    """(path, place, member, size): the wanted members of zip archives, one row each.
+
+    Read from the directory at the end of each archive; nothing else of it is.
+    """
+    found = spark.read.format("binaryFile").load(paths).select("path")
+    fields = [("path", pa.string()), ("place", pa.int64()), ("member", pa.string()), ("size", pa.int64())]
+
+    def listed(batches):
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                with open_seekable(path) as raw, zipfile.ZipFile(raw) as archive:
+                    kept = [(path, i, m.filename, m.file_size) for i, m in enumerate(archive.infolist()) if m.filename.lower().endswith(suffix)]
+                for at in range(0, len(kept), 10_000):
+                    columns = zip(*kept[at:at + 10_000], strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
+
+    return spread(found).mapInArrow(listed, "path string, place long, member string, size long")
+
+
+def _member_rows(columns):
+    """Task function: the CSV rows of each listed member, a bounded batch at a time."""
     def read(batches):
         for batch in batches:
-            for content in batch.column("content"):
-                archive = zipfile.ZipFile(io.BytesIO(content.as_py()))
-                for name in archive.namelist():
-                    if name.lower().endswith(".csv"):
-                        yield from _csv_rows(archive, name, columns)
+            for path, place in zip(batch.column("path").to_pylist(), batch.column("place").to_pylist(), strict=True):
+                with open_seekable(path) as raw, zipfile.ZipFile(raw) as archive:
+                    yield from _csv_rows(archive, archive.infolist()[place], columns)
 
     return read
 
@@ -182,28 +217,22 @@ def zipped_csv(spark: SparkSession, paths, columns, *, types=None, tokens=None)
     """Rows of every ``*.csv`` member of zip archives, in the named columns.
 
     The delimiter is sniffed per member, text is decoded leniently, ragged rows
-    are cut or filled, null tokens and bad numbers become null.  A zip cannot
-    be split, so an archive is one task; its rows stream out in batches.
+    are cut or filled, null tokens and bad numbers become null.  Work is dealt by
+    member: a task seeks to its member in the archive, of any size, and rows stream
+    out in batches.
     """
-    raw = spark.read.format("binaryFile").load(paths).select("content")
+    work, n = cut_lineage(archive_members(spark, paths), count=True)
     schema = ", ".join(f"`{c}` string" for c in columns)
-    rows = raw.mapInArrow(_members(list(columns)), schema)
-    return typed(rows, columns, types or {}, tokens)
-
-
-def _csv_member(archive):
-    return next((n for n in archive.namelist() if n.lower().endswith(".csv")), None)
+    # Few bytes stand for much work, so the number of tasks is given.
+    dealt = work.repartition(max(1, min(n, MEMBER_TASKS)))
+    return typed(dealt.mapInArrow(_member_rows(list(columns)), schema), columns, types or {}, tokens)
 
 
 def _header(batches):
     for batch in batches:
-        for content in batch.column("content"):
-            archive = zipfile.ZipFile(io.BytesIO(content.as_py()))
-            name = _csv_member(archive)
-            if name is None:
-                continue
-            with archive.open(name) as raw:
-                sample = raw.read(256 * 1024)
+        for path, place in zip(batch.column("path").to_pylist(), batch.column("place").to_pylist(), strict=True):
+            with open_seekable(path) as raw, zipfile.ZipFile(raw) as archive, archive.open(archive.infolist()[place]) as member:
+                sample = member.read(256 * 1024)
             text = io.StringIO(sample.decode("utf-8", "replace"), newline="")
             names = next(csv.reader(text, delimiter=delimiter_of(sample)), [])
             yield pa.RecordBatch.from_arrays([pa.array([names], pa.list_(pa.string()))], names=["names"])
@@ -227,21 +256,12 @@ def inferred(df: DataFrame) -> DataFrame:
 
 def first_member(spark: SparkSession, path) -> DataFrame:
     """First CSV member of an archive with inferred types; empty fields are null."""
-    raw = spark.read.format("binaryFile").load(path).select("content")
-    found = raw.mapInArrow(_header, "names array<string>").first()
+    first = cut_lineage(archive_members(spark, path).orderBy("path", "place").limit(1))
+    found = first.mapInArrow(_header, "names array<string>").first()
     if found is None:
         return spark.createDataFrame([], "value string")
     columns = list(found["names"])
-
-    def read(batches):
-        for batch in batches:
-            for content in batch.column("content"):
-                archive = zipfile.ZipFile(io.BytesIO(content.as_py()))
-                name = _csv_member(archive)
-                if name is not None:
-                    yield from _csv_rows(archive, name, columns)
-
-    rows = raw.mapInArrow(read, ", ".join(f"`{c}` string" for c in columns))
+    rows = first.mapInArrow(_member_rows(columns), ", ".join(f"`{c}` string" for c in columns))
     # Read once: the types are found on the rows that are returned.
     return inferred(cut_lineage(null_tokens(rows, [""])))
 

@@ -101,6 +101,24 @@ def test_csv_readers_agree_on_awkward_files(spark, tmp_path):
         assert [r[1] for r in sorted(map(tuple, first.collect()))] == [w[1] for w in want]
 
 
+def test_archives_of_any_size_are_dealt_by_member(spark, tmp_path):
+    # Over 2 GB, as a hole in front of the members.
+    with open(tmp_path / "large 1.zip", "wb") as hole:
+        hole.truncate(2_200_000_000)
+    with zipfile.ZipFile(tmp_path / "large 1.zip", "a", zipfile.ZIP_DEFLATED) as z:
+        for m in range(5):
+            z.writestr(f"m{m}.CSV", "a,b\n" + "".join(f"{m},{i}\n" for i in range(300)))
+        z.writestr("readme.txt", "no rows")
+    with zipfile.ZipFile(tmp_path / "none.zip", "w") as z:
+        z.writestr("other.txt", "")
+    found = files.archive_members(spark, str(tmp_path)).collect()
+    assert sorted((r.member, r.place) for r in found) == [(f"m{m}.CSV", m) for m in range(5)]
+    rows = files.zipped_csv(spark, str(tmp_path), ["a", "b"], types={"a": "int", "b": "int"})
+    assert rows.rdd.getNumPartitions() == 5
+    assert sorted(map(tuple, rows.collect())) == [(m, i) for m in range(5) for i in range(300)]
+    assert files.first_member(spark, str(tmp_path / "large 1.zip")).count() == 300
+
+
 def test_first_member_without_csv(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "z.zip", "w") as z:
         z.writestr("readme.txt", "no rows")
