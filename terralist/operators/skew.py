@@ -3,16 +3,12 @@
 ``group_key``      one short key per distinct combination of columns, so copies
                    collapse into a weighted row before anything is joined.
 ``split_hot``      cuts the join keys that hold too many rows into shards.
-``member_parts``   the members of groups as bounded lists.
-``gather``         lists and counts per row from matches between groups.
+``match_counts``   counts per row from matches between groups.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from terralist.session import cut_lineage
-
 HOT_ROWS = 20_000
-PART_ROWS = 10_000
 
 
 def group_key(*columns) -> Column:
@@ -56,64 +52,8 @@ def split_hot(left: DataFrame, right: DataFrame, keys, *, spread_by, hot_rows=HO
     return left, right
 
 
-def member_parts(rows: DataFrame, group, member, *, part_rows=PART_ROWS) -> DataFrame:
-    """(group, part, members): member lists of about ``part_rows`` each.
-
-    The part of a member follows from its hash and the pre-aggregated size of
-    its group, so no task ever holds a whole large group.
-    """
-    sizes = hot_keys(rows, [group], hot_rows=part_rows)
-    return (
-        rows.join(sizes, group, "left")
-        .withColumn("part", F.pmod(F.hash(member), F.coalesce("_shards", F.lit(1))))
-        .groupBy(group, "part")
-        .agg(F.collect_list(member).alias("members"))
-    )
-
-
 def match_counts(matches: DataFrame) -> DataFrame:
     """(center, n_matches): rows that each member of a center group matches,
     the member itself not counted."""
     own = F.max(F.when(F.col("center") == F.col("neighbour"), 1).otherwise(0))
     return matches.groupBy("center").agg((F.sum("n_rows") - own).alias("n_matches"))
-
-
-def match_lists(
-    rows: DataFrame,
-    matches: DataFrame,
-    *,
-    group,
-    member,
-    output,
-    part_rows=PART_ROWS,
-) -> DataFrame:
-    """Expand group matches to one sorted list of members per row.
-
-    ``rows`` (group, member, ...) are the rows that get a list, ``matches``
-    (center, neighbour, n_rows) says which groups match.  A list longer than
-    ``part_rows`` comes as several rows numbered by ``part``; nearly every row
-    has part 0 only.  Rows without a match get one empty list.
-    """
-    parts = member_parts(
-        rows.select(group, member), group, member, part_rows=part_rows
-    ).withColumnsRenamed({group: "neighbour", "part": "_part"})
-    # Used twice, so the join behind it runs once.
-    matches = cut_lineage(matches)
-    slots = F.greatest(F.ceil(F.col("n_matches") / part_rows), F.lit(1)).cast("int")
-    lists = (
-        matches.select("center", "neighbour")
-        .join(match_counts(matches), "center")
-        .join(parts, "neighbour")
-        .withColumn("part", F.pmod(F.hash("neighbour", "_part"), slots))
-        .groupBy("center", "part")
-        .agg(F.flatten(F.collect_list("members")).alias("_members"))
-        .withColumnRenamed("center", group)
-    )
-    own = F.array_sort(F.array_remove(F.col("_members"), F.col(member)))
-    empty = F.array().cast(f"array<{dict(rows.dtypes)[member]}>")
-    return (
-        rows.join(lists, group, "left")
-        .withColumn("part", F.coalesce("part", F.lit(0)))
-        .withColumn(output, F.coalesce(own, empty))
-        .drop("_members")
-    )

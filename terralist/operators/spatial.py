@@ -9,11 +9,10 @@ from terralist.functions.geo import (
     cell_text, explode_ring, half_offsets, hex_steps, k_ring, ring_offsets,
 )
 from terralist.functions.numbers import haversine_km, nan_to_null
+from terralist.operators.cover import PairCover, pair_cover
 from terralist.operators.keys import dense_ids, number_rows
 from terralist.operators.shaping import with_computed
-from terralist.operators.skew import (
-    HOT_ROWS, PART_ROWS, group_key, match_counts, match_lists, split_hot,
-)
+from terralist.operators.skew import HOT_ROWS, group_key, match_counts, split_hot
 from terralist.session import cut_lineage
 
 # Bands are widened by this factor so that rounding never loses a pair.
@@ -198,32 +197,14 @@ def count_potential_duplicates(df: DataFrame, *, id_col="id", **options) -> Data
     )
 
 
-def find_potential_duplicates(
-    df: DataFrame, *, id_col="id", part_rows=PART_ROWS, **options
-) -> DataFrame:
-    """(id, part, potential_duplicates) for every row.
+def find_potential_duplicates(df: DataFrame, *, id_col="id", hot_rows=HOT_ROWS, **options) -> PairCover:
+    """Possible duplicates of every row as a cover of the pairs.
 
-    The list holds the ids of possible duplicates in order; it is empty for
-    inactive rows and rows without coordinates.  A list longer than
-    ``part_rows`` continues in further rows with part 1, 2, ...
+    Inactive rows and rows without coordinates have none of their own.
     """
-    rows = with_duplicate_profile(df, id_col=id_col)
-    matches = duplicate_profiles(rows, **options)
-    lists = match_lists(
-        rows.select(id_col, "profile", "active"), matches,
-        group="profile", member=id_col, output="potential_duplicates", part_rows=part_rows,
-    )
-    kind = dict(lists.dtypes)["potential_duplicates"]
-    return lists.filter(F.col("active") | (F.col("part") == 0)).select(
-        id_col, "part",
-        F.when(F.col("active"), F.col("potential_duplicates"))
-        .otherwise(F.array().cast(kind)).alias("potential_duplicates"),
-    )
-
-
-def with_potential_duplicates(df: DataFrame, *, id_col="id", **options) -> DataFrame:
-    """The input with its ``potential_duplicates`` list (part 0 and onwards)."""
-    return df.join(find_potential_duplicates(df, id_col=id_col, **options), id_col, "left")
+    rows = cut_lineage(with_duplicate_profile(df, id_col=id_col))
+    matches = duplicate_profiles(rows, hot_rows=hot_rows, **options)
+    return pair_cover(rows, matches, id_col=id_col, group="profile", asks=F.col("active"), hot_rows=hot_rows)
 
 
 # --- cells ---------------------------------------------------------------------

@@ -8,6 +8,7 @@ literals with an exponent keep both in double arithmetic.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from terralist.operators.keys import one_per_key
 from terralist.queries.registry import table
 from terralist.session import spread
 
@@ -108,6 +109,11 @@ def wave(spark: SparkSession, folder: str, which: str) -> DataFrame:
     return listings(spark, folder).filter(F.col("wave") == which).drop("wave")
 
 
+def history(spark: SparkSession, folder: str) -> DataFrame:
+    """All listings seen in any wave, each as it was seen last."""
+    return one_per_key(listings(spark, folder), "id", order_by="wave", last=True).drop("wave")
+
+
 def portal_listings(spark: SparkSession, folder: str) -> DataFrame:
     """Raw listings of both waves; texts of the documents table become the
     descriptions of the listings with the same number."""
@@ -130,6 +136,8 @@ _FROM = f"""FROM (SELECT o.*, w.wave FROM orders o
 LISTINGS_SQL = f"listings AS (SELECT {_select(COLUMNS)}\n{_FROM})"
 OLD_SQL = f"{LISTINGS_SQL},\nold_wave AS (SELECT * FROM listings WHERE wave = '{OLD}')"
 WAVES_SQL = f"{OLD_SQL},\nnew_wave AS (SELECT * FROM listings WHERE wave = '{NEW}')"
+HISTORY_SQL = f"""{LISTINGS_SQL},
+history AS (SELECT * EXCLUDE (wave) FROM listings QUALIFY row_number() OVER (PARTITION BY id ORDER BY wave DESC) = 1)"""
 PORTAL_SQL = f"""portal AS (SELECT l.*, d.text AS content FROM (
   SELECT {_select({**COLUMNS, **TEXT_COLUMNS})}\n{_FROM}) l
   LEFT JOIN documents d ON d.doc_id = l.id)"""

@@ -8,7 +8,8 @@ from terralist import constants as K
 from terralist.functions.geo import k_ring, ring_offsets
 from terralist.functions.numbers import area_flag, fill_zero, normalize_price, with_repaired_areas
 from terralist.operators import pairs as P, profile as A, spatial as S
-from terralist.queries.adapter import OLD, OLD_SQL, wave
+from terralist.queries.adapter import HISTORY_SQL, history
+from terralist.operators.keys import top_k
 from terralist.queries.registry import query
 
 # --- potential duplicates ------------------------------------------------------------
@@ -28,8 +29,8 @@ def same_sql(column):
 
 
 # Every pair is compared by its exact distance; the latitude test only saves time.
-DUPLICATES_SQL = f"""{OLD_SQL},
-points AS (SELECT *, id % 41 <> 0 AS is_active FROM old_wave),
+DUPLICATES_SQL = f"""{HISTORY_SQL},
+points AS (SELECT *, id % 41 <> 0 AS is_active FROM history),
 matched AS (SELECT c.id, n.id AS other FROM points c JOIN points n
   ON c.lat IS NOT NULL AND n.lat BETWEEN c.lat - 3e-3 AND c.lat + 3e-3 AND c.id <> n.id
   WHERE c.is_active AND {distance_sql('c', 'n')} <= 2e-1
@@ -39,7 +40,7 @@ matched AS (SELECT c.id, n.id AS other FROM points c JOIN points n
 
 
 def points(spark, folder):
-    return wave(spark, folder, OLD).withColumn("is_active", F.col("id") % 41 != 0)
+    return history(spark, folder).withColumn("is_active", F.col("id") % 41 != 0)
 
 
 @query("potential_duplicate_counts", f"""WITH {DUPLICATES_SQL}
@@ -48,12 +49,32 @@ def potential_duplicate_counts(spark, folder):
     return S.count_potential_duplicates(points(spark, folder))
 
 
-@query("potential_duplicates", f"""WITH {DUPLICATES_SQL}
-SELECT p.id, 0 AS part, CAST(to_json(coalesce(list(m.other ORDER BY m.other) FILTER (m.other IS NOT NULL), [])) AS VARCHAR) AS potential_duplicates
-FROM points p LEFT JOIN matched m ON m.id = p.id GROUP BY p.id""")
+GROUPED_SQL = f"""{DUPLICATES_SQL},
+located AS (SELECT id, min(id) OVER same AS group_id, count(*) OVER same AS n_rows FROM points WHERE lat IS NOT NULL AND lon IS NOT NULL
+  WINDOW same AS (PARTITION BY lat, lon, asking_price, m2_built, no_bedrooms, no_full_bathrooms, id_dev))"""
+
+
+@query("potential_duplicates", f"""WITH {GROUPED_SQL}, n AS (SELECT id, count(*) AS n FROM matched GROUP BY id)
+SELECT p.id, l.group_id, coalesce(n.n, 0) AS n_duplicates FROM points p LEFT JOIN located l ON l.id = p.id LEFT JOIN n ON n.id = p.id""")
 def potential_duplicates(spark, folder):
-    found = S.find_potential_duplicates(points(spark, folder))
-    return found.withColumn("potential_duplicates", F.to_json("potential_duplicates"))
+    """Every listing with its group of equal listings and its number of possible duplicates."""
+    return S.find_potential_duplicates(points(spark, folder)).counts("n_duplicates")
+
+
+@query("potential_duplicate_groups", f"""WITH {GROUPED_SQL}
+SELECT DISTINCT a.group_id, b.group_id AS other_id, b.n_rows FROM matched m JOIN located a ON a.id = m.id JOIN located b ON b.id = m.other""")
+def potential_duplicate_groups(spark, folder):
+    """Which groups are possible duplicates of which."""
+    return S.find_potential_duplicates(points(spark, folder)).links
+
+
+@query("potential_duplicates_of", f"""WITH {DUPLICATES_SQL}, n AS (SELECT id, count(*) AS n FROM matched GROUP BY id ORDER BY n DESC, id LIMIT 1)
+SELECT id, other FROM matched WHERE id IN (SELECT id FROM n)""")
+def potential_duplicates_of(spark, folder):
+    """The possible duplicates of the listing that has most of them, one by one."""
+    cover = S.find_potential_duplicates(points(spark, folder))
+    most = top_k(cover.counts("n"), "n", 1, tie="id")
+    return cover.pairs_of(most)
 
 
 # --- cells ------------------------------------------------------------------------------
@@ -69,7 +90,7 @@ _X = f"(lon * {number_sql(_DEGREE * math.cos(math.radians(19.4)))})"
 _Y = f"(lat * {number_sql(_DEGREE)})"
 
 
-def cells_sql(edge, source="old_wave", name="cells"):
+def cells_sql(edge, source="history", name="cells"):
     e = number_sql(edge)
     return f"""{name}_a AS (SELECT *, ({_X} * {number_sql(math.sqrt(3.0) / 3.0)} - {_Y} / 3e0) / {e} AS fq,
     ({_Y} * {number_sql(2.0 / 3.0)}) / {e} AS fr FROM {source}),
@@ -88,15 +109,15 @@ CELL_TEXT = "CAST(q AS VARCHAR) || ':' || CAST(r AS VARCHAR)"
 
 
 def with_cells(spark, folder, edge=0.2):
-    return S.with_cell(wave(spark, folder, OLD), edge_km=edge)
+    return S.with_cell(history(spark, folder), edge_km=edge)
 
 
-@query("hex_cells", f"WITH {OLD_SQL}, {cells_sql(0.2)} SELECT id, {CELL_TEXT} AS cell FROM cells")
+@query("hex_cells", f"WITH {HISTORY_SQL}, {cells_sql(0.2)} SELECT id, {CELL_TEXT} AS cell FROM cells")
 def hex_cells(spark, folder):
     return with_cells(spark, folder).select("id", "cell")
 
 
-@query("hex_kring", f"""WITH {OLD_SQL}, {cells_sql(0.2)}, {ring_sql(2)}
+@query("hex_kring", f"""WITH {HISTORY_SQL}, {cells_sql(0.2)}, {ring_sql(2)}
 SELECT id, list_sort(list(CAST(q + dq AS VARCHAR) || ':' || CAST(r + dr AS VARCHAR)))::VARCHAR AS ring FROM cells, ring WHERE q IS NOT NULL GROUP BY id
 UNION ALL SELECT id, NULL FROM cells WHERE q IS NULL""")
 def hex_kring(spark, folder):
@@ -106,7 +127,7 @@ def hex_kring(spark, folder):
 
 
 def grouping_sql(edge):
-    return f"""{OLD_SQL}, {cells_sql(edge)}, {ring_sql()},
+    return f"""{HISTORY_SQL}, {cells_sql(edge)}, {ring_sql()},
 blocks AS (SELECT q, r, row_number() OVER (ORDER BY min(id)) AS block_id FROM cells WHERE q IS NOT NULL GROUP BY q, r),
 links AS (SELECT a.block_id AS a, b.block_id AS b FROM blocks a, ring JOIN blocks b ON b.q = a.q + dq AND b.r = a.r + dr),
 owners AS (SELECT a AS block_id, min(b) AS owner FROM links GROUP BY a),
@@ -143,7 +164,7 @@ def component_ids(spark, folder):
 
 # --- comparables -------------------------------------------------------------------------
 
-COMPARABLES_SQL = f"""{OLD_SQL}, {cells_sql(0.2)}, {ring_sql()},
+COMPARABLES_SQL = f"""{HISTORY_SQL}, {cells_sql(0.2)}, {ring_sql()},
 around AS (SELECT id, q + dq AS q, r + dr AS r, property_type, is_development, no_bedrooms, no_full_bathrooms FROM cells, ring),
 found AS (SELECT a.id, c.id AS other FROM around a JOIN cells c ON c.q = a.q AND c.r = a.r AND c.property_type = a.property_type
   AND c.is_development = a.is_development AND c.no_bedrooms = a.no_bedrooms AND c.no_full_bathrooms = a.no_full_bathrooms AND c.id <> a.id)"""
@@ -155,16 +176,36 @@ def comparable_counts(spark, folder):
     return P.count_comparables(with_cells(spark, folder))
 
 
-@query("comparables", f"""WITH {COMPARABLES_SQL}
-SELECT c.id, 0 AS part, CAST(to_json(list(f.other ORDER BY f.other) FILTER (f.other IS NOT NULL)) AS VARCHAR) AS comparable_ids
-FROM cells c LEFT JOIN found f ON f.id = c.id GROUP BY c.id""")
+BLOCKS_SQL = f"""{COMPARABLES_SQL},
+blocks AS (SELECT id, min(id) OVER same AS group_id, count(*) OVER same AS n_rows FROM cells WHERE q IS NOT NULL AND property_type IS NOT NULL
+  AND is_development IS NOT NULL AND no_bedrooms IS NOT NULL AND no_full_bathrooms IS NOT NULL
+  WINDOW same AS (PARTITION BY q, r, property_type, is_development, no_bedrooms, no_full_bathrooms))"""
+
+
+@query("comparables", f"""WITH {BLOCKS_SQL}, n AS (SELECT id, count(*) AS n FROM found GROUP BY id)
+SELECT c.id, b.group_id, coalesce(n.n, 0) AS n_comparables FROM cells c LEFT JOIN blocks b ON b.id = c.id LEFT JOIN n ON n.id = c.id""")
 def comparables(spark, folder):
-    found = P.define_comparables(with_cells(spark, folder))
-    return found.withColumn("comparable_ids", F.to_json("comparable_ids"))
+    """Every listing with its block of alike listings and its number of comparables."""
+    return P.define_comparables(with_cells(spark, folder)).counts("n_comparables")
+
+
+@query("comparable_groups", f"""WITH {BLOCKS_SQL}
+SELECT DISTINCT a.group_id, b.group_id AS other_id, b.n_rows FROM found f JOIN blocks a ON a.id = f.id JOIN blocks b ON b.id = f.other""")
+def comparable_groups(spark, folder):
+    """Which blocks are comparable with which."""
+    return P.define_comparables(with_cells(spark, folder)).links
+
+
+@query("comparable_pairs_of", f"""WITH {COMPARABLES_SQL}, n AS (SELECT id, count(*) AS n FROM found GROUP BY id ORDER BY n DESC, id LIMIT 1)
+SELECT id, other AS comparable_id FROM found WHERE id IN (SELECT id FROM n)""")
+def comparable_pairs_of(spark, folder):
+    """The sorted comparables of the listing that has most of them."""
+    cover = P.define_comparables(with_cells(spark, folder))
+    return P.comparable_pairs(cover, top_k(cover.counts("n"), "n", 1, tie="id"))
 
 
 @query("comparables_drilldown", f"""WITH {COMPARABLES_SQL}, chosen AS (SELECT min(id) AS id FROM found)
-SELECT id, property_type, no_bedrooms, asking_price FROM old_wave
+SELECT id, property_type, no_bedrooms, asking_price FROM history
 WHERE id IN (SELECT other FROM found WHERE id = (SELECT id FROM chosen) UNION SELECT id FROM chosen)""")
 def comparables_drilldown(spark, folder):
     rows = with_cells(spark, folder)
@@ -175,7 +216,7 @@ def comparables_drilldown(spark, folder):
 
 
 @query("comparables_random", f"""WITH {COMPARABLES_SQL}, chosen AS (SELECT id FROM found ORDER BY md5('7:' || CAST(id AS VARCHAR)), id LIMIT 1)
-SELECT id, property_type FROM old_wave
+SELECT id, property_type FROM history
 WHERE id IN (SELECT other FROM found WHERE id = (SELECT id FROM chosen) UNION SELECT id FROM chosen)""")
 def comparables_random(spark, folder):
     return P.comparables_of(with_cells(spark, folder), seed=7).select("id", "property_type")
@@ -196,7 +237,7 @@ SCORED_ROWS_SQL = """prepared AS (SELECT * EXCLUDE (m2_built, m2_terrain, no_bed
 
 
 def scored_rows(spark, folder, edge=0.2):
-    rows = fill_zero(wave(spark, folder, OLD))
+    rows = fill_zero(history(spark, folder))
     rows = with_repaired_areas(rows).withColumns(
         {"price_mxn": normalize_price(), "m2_flags": area_flag().cast("bigint")}
     ).select(*SCORED_COLUMNS)
@@ -226,7 +267,7 @@ def groups_sql(columns):
 
 N_PAIRS = "CAST(CASE WHEN a.id = b.id THEN a.n * (a.n - 1) / 2 ELSE a.n * b.n END AS BIGINT) AS n_pairs"
 
-COMPARABLE_SCORES_SQL = f"""{OLD_SQL}, {cells_sql(0.2)}, {SCORED_ROWS_SQL},
+COMPARABLE_SCORES_SQL = f"""{HISTORY_SQL}, {cells_sql(0.2)}, {SCORED_ROWS_SQL},
 located AS (SELECT * FROM prepared WHERE q IS NOT NULL),
 {groups_sql('q, r, property_type, is_development, no_bedrooms, no_full_bathrooms, m2_built, m2_terrain, price_mxn')},
 scored AS (SELECT a.property_type, a.is_development, a.no_bedrooms, a.no_full_bathrooms, a.id AS id_left, b.id AS id_right, {N_PAIRS},

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from terralist.operators import waves as W
 from terralist.operators.keys import number_rows, union_all, union_relaxed
+from terralist.operators.state import new_state
 from terralist.queries.adapter import NEW, OLD, WAVES_SQL, wave
 from terralist.queries.registry import query
 
@@ -57,6 +58,25 @@ def wave_change_log(spark, folder):
     )
 
 
+@query("wave_change_log_state", CHANGE_LOG_SQL)
+def wave_change_log_state(spark, folder):
+    """The same log from the maintained state instead of the whole history."""
+    state = new_state(log_table(spark, folder), "snapshot", key="id_ext", date="wave_date", cutoff=OLD)
+    return W.log_against(wave(spark, folder, NEW), state.latest(), NEW, fields=FIELDS)
+
+
+@query("latest_state", f"""WITH {LOG_SQL},
+dated AS (SELECT id_ext, asking_price, CAST(wave_date AS DATE) AS day FROM log WHERE wave_date <= '{OLD}'
+  UNION ALL SELECT id_ext, asking_price, DATE '{NEW}' FROM new_wave)
+SELECT id_ext, asking_price, CAST(day AS VARCHAR) AS day FROM dated QUALIFY row_number() OVER (PARTITION BY id_ext ORDER BY day DESC) = 1""")
+def latest_state(spark, folder):
+    """Every key's latest row after two waves, the second taken into the state of the first."""
+    columns = ["id_ext", "asking_price", F.col("wave_date").cast("date").alias("day")]
+    state = new_state(log_table(spark, folder).select(*columns), "latest", key="id_ext", date="day", cutoff=OLD)
+    after = state.advance(wave(spark, folder, NEW).withColumn("wave_date", F.lit(NEW)).select(*columns))
+    return after.rows().withColumn("day", F.col("day").cast("string"))
+
+
 @query("wave_change_log_first", f"""WITH {WAVES_SQL}
 SELECT n.id_ext, n.source_type, {ROUNDED}, '{OLD}' AS wave_date, 'new' AS change_type FROM old_wave n""")
 def wave_change_log_first(spark, folder):

@@ -145,17 +145,38 @@ def random_listings(seed, n=260):
     return data
 
 
-@pytest.mark.parametrize("hot_rows,part_rows", [(20_000, 10_000), (3, 7)])
-def test_duplicates_equal_brute_force(spark, hot_rows, part_rows):
+def listed(cover, ids):
+    got = {r[0]: [] for r in ids.collect()}
+    for one, other in map(tuple, cover.pairs_of(ids).collect()):
+        got[one].append(other)
+    return {k: sorted(v) for k, v in got.items()}
+
+
+@pytest.mark.parametrize("hot_rows", [20_000, 3])
+def test_duplicates_equal_brute_force(spark, hot_rows):
     data = random_listings(5)
     expected = brute_duplicates(data)
     df = listing_frame(spark, data)
     counts = dict(rows(G.count_potential_duplicates(df, hot_rows=hot_rows)))
     assert counts == {k: len(v) for k, v in expected.items()}
-    got = {}
-    for r in G.find_potential_duplicates(df, hot_rows=hot_rows, part_rows=part_rows).collect():
-        got.setdefault(r.id, []).extend(r.potential_duplicates)
-    assert {k: sorted(v) for k, v in got.items()} == expected
+    cover = G.find_potential_duplicates(df, hot_rows=hot_rows)
+    assert {r.id: r.n for r in cover.counts("n").collect()} == counts
+    assert cover.total().first()[0] == sum(counts.values())
+    assert listed(cover, df) == expected
+    some = df.filter("id % 7 = 3")
+    assert listed(cover, some) == {k: expected[k] for k in expected if k % 7 == 3}
+
+
+def test_cover_grows_with_groups_not_rows(spark):
+    base = dict(lat=19.4, lon=-99.1, m2=None, beds=None, baths=None, dev=None, active=True)
+    data = [dict(base, id=i, price=100.0 + i % 3) for i in range(900)]
+    cover = G.find_potential_duplicates(listing_frame(spark, data), hot_rows=100)
+    assert cover.links.count() == 9 and cover.members.count() == 900
+    assert sorted({r.group_id for r in cover.members.collect()}) == [0, 1, 2]
+    assert {r.n for r in cover.counts("n").collect()} == {899}
+    assert cover.pairs_of(spark.createDataFrame([(5,), (5,), (-1,)], "id long")).count() == 899
+    none = G.find_potential_duplicates(listing_frame(spark, data).limit(0))
+    assert none.members.count() == none.links.count() == none.total().first()[0] == 0
 
 
 def test_duplicate_boundaries(spark):
@@ -163,7 +184,7 @@ def test_duplicate_boundaries(spark):
     data = [dict(base, id=1, price=100.0), dict(base, id=2, price=115.0), dict(base, id=3, price=85.0),
             dict(base, id=4, price=100.0, dev="a"), dict(base, id=5, price=100.0, dev="a"), dict(base, id=6, price=100.0, active=False)]
     df = listing_frame(spark, data)
-    got = {r.id: r.potential_duplicates for r in G.find_potential_duplicates(df).collect()}
+    got = listed(G.find_potential_duplicates(df), df)
     # 115 is within 15 % of 100, but 100 is not within 15 % of 85 seen from 85.
     assert got == brute_duplicates(data)
     assert got[6] == [] and 6 in got[1] and 5 not in got[4]
@@ -263,13 +284,12 @@ def test_comparables_equal_brute_force(spark):
         a.id: sorted(b.id for b in data if b.id != a.id and near(a.cell, b.cell) and all(a[k] is not None and a[k] == b[k] for k in KEYS))
         for a in data}
     assert dict(rows(P.count_comparables(df))) == {k: len(v) for k, v in expected.items()}
-    got = {}
-    for r in P.define_comparables(df, part_rows=9).collect():
-        got.setdefault(r.id, []).extend(r.comparable_ids or [])
-    assert {k: sorted(v) for k, v in got.items()} == expected
+    cover = P.define_comparables(df)
+    assert listed(cover, df) == expected
     one = next(k for k, v in expected.items() if v)
     assert {r.id for r in P.comparables_of(df, one).collect()} == {one, *expected[one]}
-    assert P.comparable_pairs(df).count() == sum(map(len, expected.values()))
+    pairs = [tuple(r) for r in P.comparable_pairs(cover, df).collect()]
+    assert pairs == sorted((k, v) for k, found in expected.items() for v in found)
     assert P.comparables_of(df, seed=1).count() > 1
 
 
