@@ -4,5 +4,5 @@ import importlib
 
 from terralist.queries.registry import ORACLES, QUERIES
 
-for _module in ("tracking", "cleaning", "spatial", "text", "profiling"):
+for _module in ("tracking", "cleaning", "spatial", "text", "profiling", "publishing"):
     importlib.import_module(f"terralist.queries.{_module}")

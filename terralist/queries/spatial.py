@@ -29,14 +29,17 @@ def same_sql(column):
 
 
 # Every pair is compared by its exact distance; the latitude test only saves time.
-DUPLICATES_SQL = f"""{HISTORY_SQL},
-points AS (SELECT *, id % 41 <> 0 AS is_active FROM history),
-matched AS (SELECT c.id, n.id AS other FROM points c JOIN points n
+MATCHED_SQL = f"""matched AS (SELECT c.id, n.id AS other FROM points c JOIN points n
   ON c.lat IS NOT NULL AND n.lat BETWEEN c.lat - 3e-3 AND c.lat + 3e-3 AND c.id <> n.id
   WHERE c.is_active AND {distance_sql('c', 'n')} <= 2e-1
     AND {tolerance_sql('asking_price', '8.5e-1', '1.15e0')} AND {tolerance_sql('m2_built', '9.5e-1', '1.05e0')}
     AND {same_sql('no_bedrooms')} AND {same_sql('no_full_bathrooms')}
     AND (c.id_dev <> n.id_dev OR c.id_dev IS NULL OR n.id_dev IS NULL))"""
+LOCATED_SQL = """located AS (SELECT id, min(id) OVER same AS group_id, count(*) OVER same AS n_rows FROM points WHERE lat IS NOT NULL AND lon IS NOT NULL
+  WINDOW same AS (PARTITION BY lat, lon, asking_price, m2_built, no_bedrooms, no_full_bathrooms, id_dev))"""
+DUPLICATES_SQL = f"""{HISTORY_SQL},
+points AS (SELECT *, id % 41 <> 0 AS is_active FROM history),
+{MATCHED_SQL}"""
 
 
 def points(spark, folder):
@@ -50,8 +53,7 @@ def potential_duplicate_counts(spark, folder):
 
 
 GROUPED_SQL = f"""{DUPLICATES_SQL},
-located AS (SELECT id, min(id) OVER same AS group_id, count(*) OVER same AS n_rows FROM points WHERE lat IS NOT NULL AND lon IS NOT NULL
-  WINDOW same AS (PARTITION BY lat, lon, asking_price, m2_built, no_bedrooms, no_full_bathrooms, id_dev))"""
+{LOCATED_SQL}"""
 
 
 @query("potential_duplicates", f"""WITH {GROUPED_SQL}, n AS (SELECT id, count(*) AS n FROM matched GROUP BY id)

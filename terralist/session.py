@@ -48,6 +48,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder under the checkpoint folder, which all executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame, count=False):
     """Write ``df`` once under the checkpoint folder and read on from there.
 
@@ -56,8 +62,7 @@ def cut_lineage(df: DataFrame, count=False):
     ``count`` the number of rows comes along, taken as they are written.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    path = shared_folder(spark)
     if not count:
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
