@@ -6,6 +6,19 @@ import pyarrow as pa
 from pyspark.sql import types as T
 
 PIECE_BYTES = 4 << 20
+_held = [None, None, None]
+
+
+def held(owner, key, make):
+    """The one large object that a worker keeps between batches and tasks, made by ``make()``.
+
+    Workers are reused from stage to stage: what an operator asks for replaces what
+    another, or the same for another key, left behind.
+    """
+    if _held[0] != owner or _held[1] is not key and _held[1] != key:
+        _held[:] = None, None, None
+        _held[:] = owner, key, make()
+    return _held[2]
 
 
 def sheltered(*internal):

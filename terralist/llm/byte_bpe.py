@@ -21,7 +21,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import types as T
 
-from terralist.llm.batches import map_batches
+from terralist.llm.batches import held, map_batches
 from terralist.llm.transducer import Transducer
 
 PIECES = 350_000
@@ -82,9 +82,8 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, self.split(text)))
 
 
-@lru_cache(maxsize=2)
 def encoder(data, pattern):
-    return Encoder(data, pattern)
+    return held("byte_bpe", (data, pattern), lambda: Encoder(data, pattern))
 
 
 # Classes of bytes in UTF-8, and for each state the classes it takes and where they lead.

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from terralist.llm.batches import pieces
+from terralist.llm.batches import held, pieces
 from terralist.operators.spatial import connected_labels
 from terralist.session import cut_lineage
 
@@ -53,9 +53,6 @@ class WordHashes(dict):
         return h
 
 
-_hashes = WordHashes()
-
-
 def mixed(x, seed=0x9E3779B97F4A7C15):
     """A bijective mix of 64-bit numbers, one per odd seed."""
     x = x ^ (x >> np.uint64(31))
@@ -69,7 +66,8 @@ def words_of(texts):
     """(hashes of all words joined, where each text's words start and end)."""
     words = [t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in texts]
     counts = np.array([len(w) for w in words], np.int64)
-    flat = np.fromiter((_hashes[w] for doc in words for w in doc), np.uint64, int(counts.sum()))
+    known = held("jaccard", "words", WordHashes)
+    flat = np.fromiter((known[w] for doc in words for w in doc), np.uint64, int(counts.sum()))
     ends = np.cumsum(counts)
     return flat, (ends - counts).tolist(), ends.tolist()
 

@@ -26,14 +26,13 @@ length; other columns pass through, those named as an added one are replaced.
 
 import re
 from collections import Counter
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Window, functions as F, types as T
 
-from terralist.llm.batches import map_batches, pieces, sheltered
+from terralist.llm.batches import held, map_batches, pieces, sheltered
 from terralist.session import cut_lineage
 
 ORDER = 5
@@ -48,8 +47,10 @@ REJECT_AT = 8.0
 #: Letters of evidence after which the score no longer grows.
 EVIDENCE = 30
 UNKNOWN = "und"
-FLUSH = 500_000
-CACHED = 300_000
+#: Runs counted before they are sent as n-grams, runs whose scores are kept, runs scored together.
+FLUSH = 200_000
+CACHED = 200_000
+TOGETHER = 20_000
 
 _letters = re.compile(r"[^\W\d_]+").findall
 
@@ -223,8 +224,10 @@ class Models:
             left[deep[~known]] = True
             q[known] += self.seen[order].values[row[known]]
             p[deep] = q
-        logs, opened = np.log(p), [[] for _ in words]
-        if self.entries is not None and left.any():
+        logs = np.log(p)
+        # Only tables that are a part of the model leave n-grams open.
+        opened = None if self.entries is None else [[] for _ in words]
+        if opened is not None and left.any():
             logs[left] = 0
             owner = np.repeat(np.arange(len(words)), sizes)
             for i in np.flatnonzero(left).tolist():
@@ -249,9 +252,9 @@ class Scorer(dict):
         new = [w for w in dict.fromkeys(w for f in found for w in f) if w not in self]
         if new:
             self.update(zip(new, range(len(self.matrix), len(self.matrix) + len(new)), strict=True))
-            done = [self.models.score_stored(new[i:i + 50_000]) for i in range(0, len(new), 50_000)]
+            done = [self.models.score_stored(new[i:i + TOGETHER]) for i in range(0, len(new), TOGETHER)]
             self.matrix = np.concatenate([self.matrix, *(m for m, _ in done)])
-            self.opened.extend(o for _, opened in done for o in opened)
+            self.opened.extend(o for _, opened in done for o in opened or ())
         rows = np.fromiter((self[w] for f in found for w in f), np.int64)
         letters = np.fromiter((len(w) + 1 for f in found for w in f), np.int64)
         owner = np.repeat(np.arange(len(values)), [len(f) for f in found])
@@ -264,9 +267,8 @@ class Scorer(dict):
         return Counter(g for w in found for g in self.opened[self[w]])
 
 
-@lru_cache(maxsize=2)
 def _scorer(shared):
-    return Scorer(shared.value)
+    return held("langid", shared, lambda: Scorer(shared.value))
 
 
 def orders(counted):
