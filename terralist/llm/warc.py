@@ -6,7 +6,7 @@ archives, one gzip member per record, into the shared folder, under names that
 no other attempt uses; the manifest lists those of the attempts that counted.
 
 Reading: a task reads a byte range of an archive, from the first record that
-starts in it to the last.  A record is taken if its member inflates, its headers
+starts in it to the last; a pass before makes sure that ranges lead to each other.  A record is taken if its member inflates, its headers
 and lengths agree and its digests are right.  After a failed check the reader
 searches for the next place where a valid member or a version line starts, goes
 on there, and logs the bytes in between as a gap with the reason.
@@ -27,7 +27,7 @@ from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import functions as F
+from pyspark.sql import Window as Window_, functions as F
 
 from terralist.session import cut_lineage, ensure_checkpoint_dir
 
@@ -286,16 +286,68 @@ def read_range(window, start, end):
         at, after = stop, True
 
 
+def borders(window, start, end):
+    """(first, last): where a range of its own finds its first record, and where the next range would have to go on."""
+    at = first = start if start == 0 else next_start(window, start)
+    after = False
+    while at < window.size and (at < end or after):
+        try:
+            stop = read_record(window, at)[2]
+        except Broken:
+            at, after = next_start(window, at + 1), False
+            continue
+        if at >= end:
+            break
+        at, after = stop, True
+    return first, at
+
+
+def _ranges(archives, split_bytes):
+    """(path, bytes, start, end) of ranges of ``split_bytes``."""
+    starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long"))
+    return archives.select("path", "bytes", F.explode(starts).alias("start")).withColumn("end", F.col("start") + F.lit(split_bytes))
+
+
+def misled(archives, split_bytes):
+    """(path): archives in which a range begins at a record that the one before does not lead to.
+
+    A payload may hold whole records, of a WARC in a WARC, where a range that begins
+    inside of it takes the first for one of the archive.
+    """
+    def mark(batches):
+        for batch in batches:
+            out = []
+            for path, size, start, end in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                store, place = open_folder(path)
+                with store.open_input_file(place) as file:
+                    out.append((path, start, end, *borders(Window(file, size), start, end)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names=["path", "start", "end", "first", "last"])
+
+    ranges, count = cut_lineage(_ranges(archives.filter(F.col("bytes") > split_bytes), split_bytes), count=True)
+    marks = cut_lineage(ranges.repartition(_tasks(archives, count)).mapInArrow(mark, "path string, start long, end long, first long, last long"))
+    # As many rows a file as it has ranges.
+    led = F.max("last").over(Window_.partitionBy("path").orderBy("start").rowsBetween(Window_.unboundedPreceding, -1))
+    empty = (F.col("led") >= F.col("end")) & (F.col("first") >= F.col("end"))
+    return marks.withColumn("led", led).filter((F.col("start") > 0) & (F.col("led") != F.col("first")) & ~empty).select("path").distinct()
+
+
+def _tasks(archives, count):
+    return int(max(1, min(count, 64 * archives.sparkSession.sparkContext.defaultParallelism)))
+
+
 def read_archives(manifest, payload=True, split_bytes=SPLIT_BYTES):
     """Records and gaps of the archives listed as (path, bytes).
 
     ``kind`` tells records from gaps; ``offset`` and ``end`` are byte positions.
+    Archives over ``split_bytes`` are read in ranges after a pass that checks that each
+    range begins where the one before leads; those where one does not are read whole.
     """
-    spark = manifest.sparkSession
-    step = F.lit(split_bytes)
-    splits = manifest.select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), step)).alias("start"))
-    count = manifest.agg(F.coalesce(F.sum(F.ceil(F.col("bytes") / step)), F.lit(0))).first()[0]
-    tasks = int(max(1, min(count, 64 * spark.sparkContext.defaultParallelism)))
+    archives = manifest.select("path", "bytes")
+    bad = cut_lineage(misled(archives, split_bytes))
+    whole = archives.join(bad, "path", "left_semi").select("path", "bytes", F.lit(0).cast("long").alias("start"), F.col("bytes").alias("end"))
+    splits, count = cut_lineage(_ranges(archives.join(bad, "path", "left_anti"), split_bytes).unionByName(whole), count=True)
+    tasks = _tasks(manifest, count)
     schema = pa.schema([
         ("path", pa.string()), ("offset", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("reason", pa.string()),
         ("record_type", pa.string()), ("record_id", pa.string()), ("refers_to", pa.string()), ("url", pa.string()),
@@ -308,10 +360,10 @@ def read_archives(manifest, payload=True, split_bytes=SPLIT_BYTES):
     def read(batches):
         rows, held = [], 0
         for batch in batches:
-            for path, size, start in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for path, size, start, end in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 store, place = open_folder(path)
                 with store.open_input_file(place) as file:
-                    for kind, offset, stop, fields, body in read_range(Window(file, size), start, start + split_bytes):
+                    for kind, offset, stop, fields, body in read_range(Window(file, size), start, end):
                         url = fields.get("warc-target-uri")
                         length = fields.get("http-content-length", "")
                         rows.append((
@@ -328,7 +380,7 @@ def read_archives(manifest, payload=True, split_bytes=SPLIT_BYTES):
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
-    return splits.select("path", "bytes", "start").repartition(tasks).mapInArrow(
+    return splits.select("path", "bytes", "start", "end").repartition(tasks).mapInArrow(
         read, "path string, offset long, end long, kind string, reason string, record_type string, record_id string, "
         "refers_to string, url string, payload_bytes long, payload_digest string, payload binary",
     )

@@ -128,3 +128,16 @@ def test_gaps_at_range_borders(compress):
     assert sum(b - a for _, a, b in whole) == len(data) and sum(k == "gap" for k, _, _ in whole) == 5
     for step in (int(starts[4]), int(starts[9]) - 1, 301, 997, 4096):
         assert [x for s in range(0, len(data), step) for x in found(s, s + step)] == whole
+
+
+@pytest.mark.parametrize("compress", [True, False])
+@pytest.mark.parametrize("step", [400, 1000, 3000, 1 << 20])
+def test_records_inside_a_payload_are_payload(spark, tmp_path, compress, step):
+    wrap = warc.member if compress else bytes
+    inner = b"".join(wrap(warc.record_bytes(i, "http://in", random.Random(i).randbytes(300))) for i in range(90, 99))
+    records = [warc.record_bytes(1, "http://a", b"first " * 50), warc.record_bytes(2, "http://b", inner), warc.record_bytes(3, "http://c", b"last " * 50)]
+    for name, data in (("held", b"".join(map(wrap, records))), ("plain", b"".join(wrap(warc.record_bytes(i, "u", b"x" * 900)) for i in range(9)))):
+        (tmp_path / name).write_bytes(data)
+    manifest = spark.createDataFrame([(f"file:{tmp_path / n}", (tmp_path / n).stat().st_size) for n in ("held", "plain")], "path string, bytes long")
+    rows = warc.read_archives(manifest, split_bytes=step).collect()
+    assert sorted((r["path"][-5:], r["kind"], r["record_id"]) for r in rows) == sorted([("/held", "record", str(i)) for i in (1, 2, 3)] + [("plain", "record", str(i)) for i in range(9)])
