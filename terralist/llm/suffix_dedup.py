@@ -42,7 +42,7 @@ LENGTH = 100
 GRAM = 32
 BLOCK_CONTEXTS = 100_000
 SEGMENT = 1 << 20
-LAST = (1 << 63) - 1
+LAST = 1 << 62
 
 _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -378,7 +378,8 @@ def remove_repeats(docs, key="doc_id", text="text", length=LENGTH, gram=GRAM, bl
     added = ("n_bytes", "spans", "kept")
     docs = docs.select([c for c in docs.columns if c not in added])
     named = docs.withColumns({
-        "_doc": F.coalesce(F.col(key).cast("long"), F.lit(LAST)),
+        # Rows without an id are told apart by 93 bits of their text's hashes.
+        "_doc": F.coalesce(F.col(key).cast("long"), F.lit(LAST) + F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.lit(1)), 2)),
         "_own": F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), 33),
         "_text": F.col(text),
     })

@@ -85,3 +85,15 @@ def test_whole_characters(spark):
     rows = [(1, "é" * 30), (2, "xé" + "é" * 30 + "ü")]
     done = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), length=21, gram=8, characters=True).collect()
     assert {r["doc_id"]: bytes(r["kept"]).decode() for r in done}[2].startswith("x")
+
+
+def test_rows_without_an_id_are_told_apart(spark):
+    # Two texts that share the 31 bits of hash kept beside a position.
+    parts = F.concat(*[F.md5(F.concat(F.col("id").cast("string"), F.lit(f":{k}"))) for k in range(9)])
+    texts = spark.range(150_000).select(parts.alias("text")).withColumn("own", F.shiftrightunsigned(F.xxhash64("text"), 33))
+    pair = texts.groupBy("own").agg(F.collect_list("text").alias("t")).filter("size(t) = 2").first()["t"]
+    rows = [(None, pair[0]), (None, pair[1]), (1, pair[0][100:260])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    done = {r["copy"]: r for r in suffix_dedup.remove_repeats(docs.withColumn("copy", F.col("text"))).collect()}
+    assert bytes(done[pair[1]]["kept"]) == pair[1].encode() and done[pair[1]]["spans"] == []
+    assert [tuple(s) for s in done[pair[0]]["spans"]] == [(100, 260)]
