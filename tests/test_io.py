@@ -208,7 +208,7 @@ def test_tables(spark, tmp_path):
         tables.validate_load(spark, "main", "hollow")
     rows = tables.snapshot_tables(spark, ["main", "copy"], str(tmp_path / "backup"), "2024-01-08")
     assert rows == {"main": 1, "copy": 1}
-    assert spark.read.parquet(str(tmp_path / "backup" / "main_2024-01-08.parquet")).count() == 1
+    assert tables.read_snapshot(spark, str(tmp_path / "backup"), "2024-01-08", "main").count() == 1
 
 
 def test_append_guard(spark):
@@ -229,3 +229,70 @@ def test_checkpoint_needs_a_shared_folder(spark):
     from terralist.session import cut_lineage
 
     assert cut_lineage(spark.range(4)).count() == 4
+
+
+def table(spark, name, rows, schema):
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.createDataFrame(rows, schema).write.saveAsTable(name)
+
+
+def test_snapshot_is_typed_and_published_last(spark, tmp_path, monkeypatch):
+    table(spark, "snap_main", [("1", "t", "x"), ("2", "f", "NULL")], "id string, live string, note string")
+    table(spark, "snap_log", [("1", 5)], "id string, n int")
+    folder = str(tmp_path / "out")
+    types = {"snap_main": {"id": "bigint", "live": "boolean", "note": "string"}}
+    assert tables.snapshot_tables(spark, ["snap_main", "snap_log"], folder, "d1", types=types) == {"snap_main": 2, "snap_log": 1}
+    main = tables.read_snapshot(spark, folder, "d1", "snap_main")
+    assert main.dtypes == [("id", "bigint"), ("live", "boolean"), ("note", "string")]
+    assert sorted(map(tuple, main.collect())) == [(1, True, "x"), (2, False, None)]
+    # A missing table, an unknown column and an empty table leave the published one as it is.
+    with pytest.raises(ValueError):
+        tables.snapshot_tables(spark, ["snap_main", "snap_absent"], folder, "d1")
+    with pytest.raises(ValueError):
+        tables.snapshot_tables(spark, ["snap_log"], folder, "d1", types={"snap_log": {"absent": "int"}})
+    table(spark, "snap_log", [], "id string, n int")
+    with pytest.raises(ValueError):
+        tables.snapshot_tables(spark, ["snap_main", "snap_log"], folder, "d1", allow_empty=False)
+    assert tables.read_snapshot(spark, folder, "d1", "snap_log").count() == 1
+    # A second run of the date takes its place.
+    tables.snapshot_tables(spark, ["snap_log"], folder, "d1")
+    assert tables.read_snapshot(spark, folder, "d1", "snap_log").count() == 0
+    with pytest.raises(ValueError):
+        tables.read_snapshot(spark, folder, "d1", "snap_main")
+
+
+def test_promotion_is_all_or_nothing(spark, monkeypatch):
+    table(spark, "new_a", [("x", 1)], "name string, id int")
+    table(spark, "new_b", [(7,)], "n bigint")
+    table(spark, "live_a", [(0, "old")], "id int, name string")
+    table(spark, "live_b", [(0,)], "n int")
+    pairs = [("new_a", "live_a"), ("new_b", "live_b")]
+    state = lambda: (spark.table("live_a").collect(), spark.table("live_b").collect())
+    before = state()
+    for wrong in ([*pairs, ("new_a", "live_absent")], [("new_a", "live_a"), ("new_absent", "live_b")], [("new_a", "live_a"), ("new_a", "live_b")], [pairs[0], ("new_b", "live_a")]):
+        with pytest.raises(ValueError):
+            tables.promote(spark, wrong)
+        assert state() == before
+    # A value that does not fit, seen before anything is replaced.
+    table(spark, "new_b", [(1 << 40,)], "n bigint")
+    with pytest.raises(ValueError):
+        tables.promote(spark, pairs)
+    assert state() == before
+    # A failure between two replacements gives the first its rows back.
+    table(spark, "new_b", [(7,)], "n bigint")
+    replace, calls = tables._replace, []
+
+    def failing(df, name):
+        calls.append(name)
+        if calls == ["live_a", "live_b"]:
+            raise OSError("disk full")
+        replace(df, name)
+
+    monkeypatch.setattr(tables, "_replace", failing)
+    with pytest.raises(OSError):
+        tables.promote(spark, pairs)
+    assert state() == before
+    monkeypatch.undo()
+    # Columns go by name, whatever their order.
+    assert tables.promote(spark, pairs) == {"live_a": 1, "live_b": 1}
+    assert state() == ([(1, "x")], [(7,)])
