@@ -21,6 +21,10 @@ symbol that is no token stands for itself and joins nothing.
 """
 
 
+#: Of inputs that meet a missing transition, one in so many makes it.
+SPARE = 4
+
+
 def joined(ranks, tokens, until=1):
     """The tokens after all merges: lowest rank first, leftmost among equals."""
     parts = list(tokens)
@@ -49,7 +53,7 @@ class Transducer:
     they are counts.
     """
 
-    def __init__(self, ranks, value, zero, max_states=250_000, max_pairs=400_000):
+    def __init__(self, ranks, value, zero, max_states=150_000, max_pairs=400_000):
         self.ranks, self.value, self.zero = ranks, value, zero
         # 1: a token, 2: the beginning of a longer one, 3: both.
         self.kinds = dict.fromkeys(ranks, 1)
@@ -61,6 +65,7 @@ class Transducer:
         self.nothing = next(iter(ranks))[:0]
         # Going through bytes gives numbers; these are their symbols.
         self.single = [bytes((b,)) for b in range(256)] if self.nothing == b"" else None
+        self.spared = 0
         self.reset()
 
     def reset(self):
@@ -227,8 +232,9 @@ class Transducer:
     def run(self, text):
         """Value of a whole input.
 
-        A short input makes one new state at most and is finished without, so
-        that the table fills with what many inputs have in common.
+        A short input makes one new state at most, and only every ``SPARE``-th that
+        could does, so that the table fills with what many inputs have in common;
+        what has no state yet is read without.
         """
         if len(text) > 64:
             state, total = self.advance(self.start, text)
@@ -240,6 +246,9 @@ class Transducer:
             i += 1
             got = state.next.get(symbol)
             if got is None:
+                self.spared += 1
+                if self.spared % SPARE:
+                    return total + self.ahead(state, text[i - 1:])
                 state, more = self.step(state, symbol)
                 return total + more + (self.ahead(state, text[i:]) if i < len(text) else self.finish(state))
             state = got[0]
