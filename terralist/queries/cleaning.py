@@ -124,6 +124,11 @@ AMENITIES_SQL = rf"""entries AS (SELECT p.id, p.wave, e.key AS raw_key, e.rowid
 last_entry AS (SELECT id, wave, key, arg_max(value, place) AS value FROM entries GROUP BY ALL),
 amen AS (SELECT id, wave, {', '.join(f"max(value) FILTER (key = '{k}') AS {k}" for k in K.AMENITY_KEYS)} FROM last_entry GROUP BY ALL)"""
 
+def development_sql(url):
+    rules = [f"WHEN regexp_matches({url}, '{site}') THEN nullif(regexp_extract({url}, '{part}', 1), '')" for site, part in K.DEVELOPMENT_URL_RULES]
+    return f"CASE {' '.join(rules)} END"
+
+
 CLEAN_SQL = rf"""WITH {PORTAL_SQL}, {AMENITIES_SQL},
 texts AS (SELECT *, {normalized_sql('title')} AS title_clean, {normalized_sql('content')} AS description_clean,
     {normalized_sql('property_type')} AS type_clean, {normalized_sql('source_listing_url')} AS url_clean,
@@ -137,10 +142,7 @@ flags AS (SELECT *,
     {NUMBER_SQL.format('m2_built_text')} AS built, {NUMBER_SQL.format('m2_terrain_text')} AS terrain FROM texts),
 kept AS (SELECT f.*, {', '.join(f'a.{k} AS am_{k}' for k in K.AMENITY_KEYS)} FROM flags f LEFT JOIN amen a ON a.id = f.id AND a.wave = f.wave
   WHERE NOT auction AND publisher_name NOT IN ({quoted(K.EXCLUDED_PUBLISHERS)}) AND final_kind NOT IN ({quoted(K.EXCLUDED_PROPERTY_TYPES)})),
-cleaned AS (SELECT id_ext, CASE WHEN regexp_matches(main_development_url, 'inmuebles24\.com')
-      THEN nullif(regexp_extract(main_development_url, 'desarrollo/([^/]+)-\d+\.html', 1), '')
-      WHEN regexp_matches(main_development_url, 'lamudi\.com\.mx')
-      THEN nullif(regexp_extract(main_development_url, 'desarrollo/([a-zA-Z0-9\-]+)$', 1), '') END AS id_dev,
+cleaned AS (SELECT id_ext, {development_sql('main_development_url')} AS id_dev,
     title, content AS description, zip_code, lat, lon, final_kind AS property_type, property_type AS property_type_raw,
     operation_type, no_bedrooms, no_full_bathrooms, year_built, asking_price, currency, built AS m2_built,
     CASE WHEN terrain < built OR (terrain IS NULL AND final_kind = 'DEPARTAMENTO') THEN built ELSE terrain END AS m2_terrain,
@@ -224,8 +226,7 @@ def event_properties(spark, folder):
 @query("url_dev_id", rf"""WITH {PORTAL_SQL}, urls AS (SELECT 'p' || CAST(page_id AS VARCHAR) AS id, url FROM pages
   UNION ALL SELECT 'd' || CAST(page_id AS VARCHAR), 'https://www.lamudi.com.mx/desarrollo/' || regexp_extract(url, '([a-z]+)/\d+', 1) || '-' || CAST(page_id AS VARCHAR) FROM pages
   UNION ALL SELECT wave || id_ext, main_development_url FROM portal)
-SELECT id, CASE WHEN regexp_matches(url, 'inmuebles24\.com') THEN nullif(regexp_extract(url, 'desarrollo/([^/]+)-\d+\.html', 1), '')
-  WHEN regexp_matches(url, 'lamudi\.com\.mx') THEN nullif(regexp_extract(url, 'desarrollo/([a-zA-Z0-9\-]+)$', 1), '') END AS id_dev FROM urls""")
+SELECT id, {development_sql('url')} AS id_dev FROM urls""")
 def url_dev_id(spark, folder):
     pages = table(spark, folder, "pages")
     number = F.col("page_id").cast("string")
@@ -381,6 +382,12 @@ def analysis_slice(spark, folder):
     )
 
 
+@query("first_orders", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 500")
+def first_orders(spark, folder):
+    """The first rows by key, fewer than there are."""
+    return stable_slice(table(spark, folder, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 500)
+
+
 @query("class_split", f"""WITH {OLD_SQL}
 SELECT CASE WHEN property_type = 'Departamento' THEN 'apartment' ELSE 'house' END AS class, currency LIKE '%USD%' AS dollars,
   count(*) AS n, count(*) FILTER (m2_built IS NULL OR m2_terrain IS NULL OR no_bedrooms IS NULL OR no_full_bathrooms IS NULL OR lat IS NULL) AS n_incomplete

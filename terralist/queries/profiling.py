@@ -1,10 +1,13 @@
 """Profiling queries."""
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from terralist.operators import keys as O, profile as A
 from terralist.queries.adapter import LISTINGS_SQL, OLD, OLD_SQL, listings, wave
 from terralist.queries.registry import query, table
+from terralist.sources.files import parquet
 
 
 @query("frequency_tables", f"""WITH {LISTINGS_SQL}
@@ -29,11 +32,38 @@ def null_counts(spark, folder):
     return A.null_counts(listings(spark, folder).select(*PROFILED))
 
 
-@query("any_all_nan", f"""WITH {LISTINGS_SQL} SELECT false AS any_all_nan, count(*) FILTER (id < 0) AS n FROM listings""")
+NAN_COLUMNS = ["lat", "lon"], ["lat", "lon", "m2_terrain"], ["lat", "asking_price"]
+
+
+def _nan_sql(columns):
+    every = " AND ".join(f"isnan({c})" for c in columns)
+    return f"SELECT '{'+'.join(columns)}' AS columns, coalesce(bool_or({every}), false) AS any_all_nan, count(*) FILTER ({every}) AS n FROM filled"
+
+
+@query("any_all_nan", f"""WITH {LISTINGS_SQL},
+filled AS (SELECT {', '.join(f"coalesce({c}, 'NaN'::DOUBLE) AS {c}" for c in ('lat', 'lon', 'm2_terrain', 'asking_price'))} FROM listings)
+{' UNION ALL '.join(map(_nan_sql, NAN_COLUMNS))}""")
 def any_all_nan(spark, folder):
-    rows = listings(spark, folder)
-    n = rows.agg(F.count_if(F.col("id") < 0)).scalar()
-    return A.any_all_nan(rows, ["lat", "lon", "asking_price"]).withColumn("n", n)
+    """Whether some row has no number in any of the columns, missing ones being NaN."""
+    rows = listings(spark, folder).select(*[F.coalesce(c, F.lit(float("nan"))).alias(c) for c in ("lat", "lon", "m2_terrain", "asking_price")])
+    parts = []
+    for columns in NAN_COLUMNS:
+        every = reduce(lambda a, b: a & b, [F.isnan(c) for c in columns])
+        n = rows.agg(F.count_if(every)).scalar()
+        parts.append(A.any_all_nan(rows, columns).select(F.lit("+".join(columns)).alias("columns"), "any_all_nan", n.alias("n")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("typed_union", """SELECT n_nationkey, n_name, CAST(NULL AS DOUBLE) AS note FROM nation""")
+def typed_union(spark, folder):
+    """A union that starts from a typed frame without rows."""
+    return O.union_relaxed(O.empty_like(spark, "n_nationkey bigint, note double"), table(spark, folder, "nation").select("n_nationkey", "n_name"))
+
+
+@query("parquet_projection", "SELECT o_orderkey, o_orderdate FROM orders")
+def parquet_projection(spark, folder):
+    """Wanted columns of a Parquet file; those it lacks are left out."""
+    return parquet(spark, f"{folder}/orders.parquet", columns=["o_orderkey", "absent", "o_orderdate"])
 
 
 @query("distinct_counts", f"""WITH {LISTINGS_SQL}
