@@ -50,15 +50,26 @@ def latest_at(df: DataFrame, key, date, cutoff=None, *, keep_date=False) -> Data
 
 
 def number_rows(df: DataFrame, order_by, *, output="id", start_at=1) -> DataFrame:
-    """Consecutive ids in the given order.
+    """Consecutive ids in the given order; rows equal in it are told apart by where they stand.
 
-    Range partitioning and a local sort fix the order, a checkpoint pins it,
-    and offsets come from one count per partition, so no window ever pulls the
-    whole table into one task.  ``order_by`` has to be a total order.
+    The input is evaluated once, as it is written.  Only its sort columns and a row
+    number are range-sorted, and what they get joins back; offsets come from one count
+    per partition, so no window ever pulls the whole table into one task.
     """
-    order = [F.col(c) if isinstance(c, str) else c for c in (
-        order_by if isinstance(order_by, (list, tuple)) else [order_by]
-    )]
+    order = list(order_by) if isinstance(order_by, (list, tuple)) else [order_by]
+    names = [c for c in order if isinstance(c, str)]
+    if len(names) < len(order) or set(df.columns) <= set(names):
+        # Ordered by expressions, or no wider than what would be sorted.
+        return _numbered(df, [F.col(c) if isinstance(c, str) else c for c in order], output, start_at)
+    rows = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+    places = rows.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(names)], "_row")
+    narrow = [F.col(f"_o{i}") for i in range(len(names))] + [F.col("_row")]
+    numbers = _numbered(places, narrow, "_number", start_at).select("_row", "_number")
+    return rows.drop(output).join(numbers, "_row").drop("_row").withColumnRenamed("_number", output)
+
+
+def _numbered(df, order, output, start_at):
+    """Range partitioning and a local sort fix the order, a checkpoint pins it."""
     position = "_position"
     sorted_rows = cut_lineage(
         df.repartitionByRange(*order)

@@ -518,3 +518,20 @@ def test_a_fraction_survives_a_whole_number_history(spark):
     new = spark.createDataFrame([("a", 3.5)], "id_ext string, no_bedrooms double")
     row = W.merge_history(history, new, "2024-01-08", key="id_ext", tracked=["no_bedrooms"]).first()
     assert row["no_bedrooms"] == 3.5 and row["no_bedrooms_last_updated_wave"] == "2024-01-08"
+
+
+def test_numbering_evaluates_its_input_once(spark):
+    from terralist.operators import keys
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    source = spark.range(500).selectExpr("id % 7 AS k", "id * 31 % 500 AS v", "'x' AS other", "id AS id")
+    rows = keys.number_rows(source.mapInArrow(count, source.schema), ["k", "v"], output="id", start_at=10)
+    got = [(r.k, r.v, r.id) for r in rows.orderBy("id").collect()]
+    assert [i for _, _, i in got] == list(range(10, 510)) and got == sorted(got) and seen.value == 500
+    assert rows.columns.count("id") == 1
