@@ -3,6 +3,7 @@
 ``group_key``      one short key per distinct combination of columns, so copies
                    collapse into a weighted row before anything is joined.
 ``split_hot``      cuts the join keys that hold too many rows into shards.
+``outer_join``     left join in which neither null keys nor hot ones meet in one task.
 ``match_counts``   counts per row from matches between groups.
 """
 
@@ -52,6 +53,25 @@ def split_hot(left: DataFrame, right: DataFrame, keys, *, spread_by, hot_rows=HO
     return left, right
 
 
+def outer_join(left: DataFrame, right: DataFrame, keys, *, hot_rows=HOT_ROWS) -> DataFrame:
+    """Left join with a side of few rows per key, as of a mapping.
+
+    Rows with a null key match nothing: they stay out of the join and come back by
+    union.  Rows of a key with more than ``hot_rows`` are spread over shards, and the
+    right rows of that key are repeated for each of them.
+    """
+    keys = list(keys)
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    # Which shard a row goes to does not matter, as every shard has the right rows.
+    right_rows, left_rows = split_hot(right, left.filter(known), keys, spread_by=F.monotonically_increasing_id(), hot_rows=hot_rows)
+    joined = left_rows.join(right_rows, [*keys, "_shard"], "left").drop("_shard")
+    kinds = dict(right.dtypes)
+    added = [F.lit(None).cast(kinds[c]).alias(c) for c in right.columns if c not in keys]
+    return joined.unionByName(left.filter(~known).select("*", *added))
+
+
 def match_counts(matches: DataFrame) -> DataFrame:
     """(center, n_matches): rows that each member of a center group matches,
     the member itself not counted."""

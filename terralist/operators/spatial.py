@@ -12,7 +12,7 @@ from terralist.functions.numbers import haversine_km, nan_to_null
 from terralist.operators.cover import PairCover, pair_cover
 from terralist.operators.keys import dense_ids, number_rows
 from terralist.operators.shaping import with_computed
-from terralist.operators.skew import HOT_ROWS, group_key, match_counts, split_hot
+from terralist.operators.skew import HOT_ROWS, group_key, match_counts, outer_join, split_hot
 from terralist.session import cut_lineage
 
 # Bands are widened by this factor so that rounding never loses a pair.
@@ -235,7 +235,7 @@ def occupied_cells(df: DataFrame, *, cell="cell", order_by="id", start_at=1) ->
 
 def attach(df: DataFrame, mapping: DataFrame, *, cell="cell") -> DataFrame:
     """Left join of a cell mapping; a null cell gets null."""
-    return df.join(mapping, cell, "left")
+    return outer_join(df, mapping, [cell])
 
 
 def neighbourhoods(cells: DataFrame, *, cell="cell", k=1, start_at=1) -> DataFrame:

@@ -535,3 +535,24 @@ def test_numbering_evaluates_its_input_once(spark):
     got = [(r.k, r.v, r.id) for r in rows.orderBy("id").collect()]
     assert [i for _, _, i in got] == list(range(10, 510)) and got == sorted(got) and seen.value == 500
     assert rows.columns.count("id") == 1
+
+
+def test_outer_join_spreads_null_and_hot_keys(spark):
+    from terralist.operators.skew import outer_join
+
+    # Nine of ten keys are null; half of the others are one key.
+    left = spark.range(20_000).selectExpr("CASE WHEN id % 10 > 0 THEN NULL WHEN id % 20 = 0 THEN 'hot' ELSE concat('k', id) END AS k", "id")
+    right = left.filter("k IS NOT NULL").select("k").distinct().filter("k <> 'k30'").withColumn("v", F.length("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        joined = outer_join(left, right, ["k"], hot_rows=100)
+        per_task = lambda df: [r.n for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.sum("v")).collect()]
+        sizes, plain = per_task(joined), per_task(left.join(right, "k", "left"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # Rows without a key stay in the partition they came in, a fourth of the table each.
+    assert max(sizes) <= 5000 < 18_000 <= max(plain)
+    got = {r.id: (r.k, r.v) for r in joined.collect()}
+    assert got == {r.id: (r.k, r.v) for r in left.join(right, "k", "left").collect()} and joined.count() == 20_000
