@@ -53,11 +53,11 @@ def pieces(batch, limit=PIECE_BYTES):
         yield batch.slice(at, step)
 
 
-def map_batches(df, function, added, reads=None):
+def map_batches(df, function, added, reads=None, limit=PIECE_BYTES):
     """``df`` with columns computed by ``function(columns) -> {name: array}``.
 
     ``added`` maps the new names to Spark types; columns of those names are
-    replaced.  Work is done in pieces of a few megabytes.
+    replaced.  Work is done in pieces of ``limit`` bytes, a few megabytes.
     """
     fields = [f for f in df.schema.fields if f.name not in added]
     schema = T.StructType(fields + [T.StructField(n, t) for n, t in added.items()])
@@ -66,7 +66,7 @@ def map_batches(df, function, added, reads=None):
 
     def run(batches):
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, limit):
                 columns = {c: piece.column(c) for c in (reads or piece.schema.names)}
                 new = function(columns)
                 yield pa.RecordBatch.from_arrays(

@@ -48,9 +48,11 @@ REJECT_AT = 8.0
 EVIDENCE = 30
 UNKNOWN = "und"
 #: Runs counted before they are sent as n-grams, runs whose scores are kept, runs scored together.
-FLUSH = 200_000
-CACHED = 200_000
-TOGETHER = 20_000
+FLUSH = 150_000
+CACHED = 150_000
+TOGETHER = 5_000
+#: Bytes of text scored together.
+SCORED_BYTES = 1 << 20
 
 _letters = re.compile(r"[^\W\d_]+").findall
 
@@ -386,7 +388,7 @@ def with_sums(docs, models, text="text"):
         return {"_symbols": pa.array(symbols, pa.int64()), "_sums": pa.array(list(sums), pa.list_(pa.float64()))}, found
 
     if models.entries is None:
-        return map_batches(docs, lambda columns: stored(columns)[0], SUMS, reads=[text])
+        return map_batches(docs, lambda columns: stored(columns)[0], SUMS, reads=[text], limit=SCORED_BYTES)
 
     def partly(columns):
         out, found = stored(columns)
@@ -396,7 +398,7 @@ def with_sums(docs, models, text="text"):
     kind = T.ArrayType(T.StructType([T.StructField("gram", T.StringType()), T.StructField("n", T.LongType())]))
     # Equal texts share a key and their sums.
     key = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
-    begun = cut_lineage(map_batches(docs.select(text, key.alias("_key")), partly, SUMS | {"_open": kind}, reads=[text]).drop(text).dropDuplicates(["_key"]))
+    begun = cut_lineage(map_batches(docs.select(text, key.alias("_key")), partly, SUMS | {"_open": kind}, reads=[text], limit=SCORED_BYTES).drop(text).dropDuplicates(["_key"]))
     asked = begun.select("_key", F.explode("_open").alias("o")).select("_key", "o.gram", "o.n")
     logs = open_logs(asked.select("gram").distinct(), models)
     parts = asked.join(logs, "gram").select("_key", "n", F.posexplode("logs").alias("j", "log"))
@@ -487,7 +489,7 @@ def identify(docs, models, text="text"):
     shared = docs.sparkSession.sparkContext.broadcast(models)
     added = {"lang_pred": T.StringType(), "score": T.DoubleType(), "entropy": T.DoubleType(), "rejected": T.BooleanType()}
     if models.entries is None:
-        return map_batches(docs, lambda columns: judged(shared.value, *_scorer(shared).texts(columns[text].to_pylist())[:2]), added, reads=[text])
+        return map_batches(docs, lambda columns: judged(shared.value, *_scorer(shared).texts(columns[text].to_pylist())[:2]), added, reads=[text], limit=SCORED_BYTES)
 
     def joined(columns):
         sums = columns["_sums"].flatten().to_numpy().reshape(len(columns["_sums"]), -1)
