@@ -493,3 +493,64 @@ def damage(rows):
         fault.alias("_fault"),
     ).filter("_fault != 0")
     return hurt.withColumn("_copy", F.explode(F.when(F.col("_fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).drop("_fault", "_copy")
+
+
+def repair_sql():
+    """The same over ``conversations`` in DuckDB's SQL: whole conversations, folded from their last row back.
+
+    Each state carries its least (cost, record of edits, text) to the end.
+    """
+    never = f"{{'c': {NEVER}, 'a': '', 'b': ''}}"
+
+    def step(cost, letter, line, rest):
+        return f"{{'c': {rest}.c + {cost}, 'a': '{letter}' || {rest}.a, 'b': {line} || {rest}.b}}"
+
+    def best(*options):
+        return f"list_sort([{', '.join(options)}])[1]"
+
+    def kept(role, rest):
+        return f"CASE WHEN r.fault < {MUST_GO} AND r.code = {role} THEN {step('r.more', 'K', 'r.line', rest)} ELSE {never} END"
+
+    def retitled(role, rest):
+        line = f"chr(10) || '{TITLES[role]}:' || r.said"
+        return f"CASE WHEN r.fault < {MUST_GO} THEN {step(f'r.more + {RETITLE}', 'R', line, rest)} ELSE {never} END"
+
+    def inserted(role, rest):
+        return step(INSERT, "I", f"chr(10) || '{TITLES[role]}:'", rest)
+
+    rows = []
+    for state, follows in enumerate(NEXT):
+        options = [step(DELETE, "D", "''", f"v[{state + 1}]")]
+        options += [kept(role, f"v[{to + 1}]") for role, to in enumerate(follows) if to is not None]
+        role = FOLLOWS[state]
+        rows.append(best(*options, retitled(role, f"v[{follows[role] + 1}]")))
+    # First the two states that insert into each other, then those that lead to them.
+    pair = f"[o[1], o[2], {best('o[3]', inserted(2, 'o[4]'))}, {best('o[4]', inserted(1, 'o[3]'))}]"
+    closed_sql = f"[{best('p[1]', inserted(1, 'p[3]'))}, {best('p[2]', inserted(1, 'p[3]'))}, p[3], p[4]]"
+    fold = f"list_transform([{pair}], lambda p: {closed_sql})[1]"
+    fold = f"list_transform([[{', '.join(rows)}]], lambda o: {fold})[1]"
+    last = "[{'c': 0, 'a': '', 'b': ''}, {'c': 10, 'a': 'II', 'b': chr(10) || 'user:' || chr(10) || 'assistant:'}, {'c': 5, 'a': 'I', 'b': chr(10) || 'assistant:'}, {'c': 0, 'a': '', 'b': ''}]"
+    typed = "CAST({} AS STRUCT(c BIGINT, a VARCHAR, b VARCHAR)[])"
+    space = r"\x20\x09-\x0D"
+    code = " ".join(f"WHEN left(role, 1) = '{letter}' THEN {i}" for i, letter in enumerate(ROLES))
+    return rf"""
+WITH table_of AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ord(x) AS BIGINT)) AS b FROM conversations),
+marked AS (SELECT *, xor(list_reduce(b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 20 AS f FROM given, table_of),
+hurt AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role, CASE WHEN f = 1 THEN '' WHEN f = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+  unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy FROM marked WHERE f <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again,
+  regexp_extract(text, '([^{space}])[{space}]*$', 1) AS final FROM hurt),
+judged AS (SELECT *, final = '' AS blank, final <> '' AND again AS duplicate, final <> '' AND NOT again AND final NOT IN ('.', '!', '?') AS truncated,
+  CASE {code} ELSE {NO_ROLE} END AS code, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) || left(role, 1) AS two FROM placed),
+lists AS (SELECT conv_id, list({{'code': code, 'fault': CASE WHEN blank OR duplicate THEN {MUST_GO} ELSE 0 END, 'more': CASE WHEN truncated THEN {TRUNCATED} ELSE 0 END,
+    'line': chr(10) || role || ':' || text, 'said': text}} ORDER BY n DESC) AS rows,
+  coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+  count(*) FILTER (truncated) AS truncated, count(*) FILTER (two NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+folded AS (SELECT *, list_reduce(rows, lambda v, r: {typed.format(fold)}, {typed.format(last)})[1] AS best FROM lists),
+ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(substr(best.b, 2), '')) AS repaired_sha256
+FROM ids i LEFT JOIN folded f ON f.conv_id IS NOT DISTINCT FROM i.conv_id"""

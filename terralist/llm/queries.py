@@ -126,7 +126,7 @@ def periodic_runs(spark, folder):
     )
 
 
-@query("op11_conversation_repair")
+@query("op11_conversation_repair", op11.repair_sql())
 def conversation_repair(spark, folder):
     given = table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
     ordered = op11.ordered_rows(op11.damage(given))

@@ -183,3 +183,13 @@ def test_no_rows(spark):
     edited = repair.edits(repair.row_blocks(ordered))
     assert repair.summary(docs.selectExpr("conv_id AS conv"), ordered, edited).count() == 0
     assert repair.repaired_turns(ordered, edited).count() == 0
+
+
+def test_sql_is_the_same():
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    rows = random_rows(9, [*range(60), None], 10)
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    assert {r[0]: r[1:] for r in con.execute(repair.repair_sql()).fetchall()} == expected(rows)
