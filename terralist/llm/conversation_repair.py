@@ -541,10 +541,10 @@ marked AS (SELECT *, xor(list_reduce(b, lambda c, x: xor(c >> 8, t[(xor(c, x) &
 hurt AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role, CASE WHEN f = 1 THEN '' WHEN f = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
   unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy FROM marked WHERE f <> 0),
 placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
-  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again,
   regexp_extract(text, '([^{space}])[{space}]*$', 1) AS final FROM hurt),
+compared AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again FROM placed),
 judged AS (SELECT *, final = '' AS blank, final <> '' AND again AS duplicate, final <> '' AND NOT again AND final NOT IN ('.', '!', '?') AS truncated,
-  CASE {code} ELSE {NO_ROLE} END AS code, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) || left(role, 1) AS two FROM placed),
+  CASE {code} ELSE {NO_ROLE} END AS code, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) || left(role, 1) AS two FROM compared),
 lists AS (SELECT conv_id, list({{'code': code, 'fault': CASE WHEN blank OR duplicate THEN {MUST_GO} ELSE 0 END, 'more': CASE WHEN truncated THEN {TRUNCATED} ELSE 0 END,
     'line': chr(10) || role || ':' || text, 'said': text}} ORDER BY n DESC) AS rows,
   coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
