@@ -556,3 +556,15 @@ def test_outer_join_spreads_null_and_hot_keys(spark):
     assert max(sizes) <= 5000 < 18_000 <= max(plain)
     got = {r.id: (r.k, r.v) for r in joined.collect()}
     assert got == {r.id: (r.k, r.v) for r in left.join(right, "k", "left").collect()} and joined.count() == 20_000
+
+
+@pytest.mark.parametrize("min_score", [0.5, 0.9, 0.97])
+def test_bands_only_leave_out_pairs_under_the_score(spark, min_score):
+    df = pair_rows(spark)
+    columns = df.columns
+    price = "price_mxn" if "price_mxn" in columns else next(c for c in columns if "price" in c)
+    got = [
+        sorted(map(str, P.score_comparables(df, price=price, min_score=min_score, bands=bands, hot_rows=hot).collect()))
+        for bands, hot in ((0, 20_000), (1, 20_000), (2, 20_000), (2, 3))
+    ]
+    assert got[0] and got[0] == got[1] == got[2] == got[3]
