@@ -49,10 +49,10 @@ EVIDENCE = 30
 UNKNOWN = "und"
 #: Runs counted before they are sent as n-grams, runs whose scores are kept, runs scored together.
 FLUSH = 150_000
-CACHED = 150_000
-TOGETHER = 5_000
+CACHED = 200_000
+TOGETHER = 10_000
 #: Bytes of text scored together.
-SCORED_BYTES = 1 << 20
+SCORED_BYTES = 2 << 20
 
 _letters = re.compile(r"[^\W\d_]+").findall
 
