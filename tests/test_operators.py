@@ -568,3 +568,52 @@ def test_bands_only_leave_out_pairs_under_the_score(spark, min_score):
         for bands, hot in ((0, 20_000), (1, 20_000), (2, 20_000), (2, 3))
     ]
     assert got[0] and got[0] == got[1] == got[2] == got[3]
+
+
+@pytest.mark.parametrize("min_score", [0.5, 0.9, 0.97])
+def test_bands_of_dense_keys_leave_out_nothing(spark, min_score):
+    df = pair_rows(spark)
+    found = lambda **o: sorted(map(str, P.score_comparables(df, min_score=min_score, **o).collect()))
+    assert found() and found() == found(band_rows=1) == found(band_rows=4, hot_rows=3)
+
+
+def test_scored_rows_are_copied_for_cells_only(spark, monkeypatch):
+    df, seen = pair_rows(spark), []
+
+    def watched(left, right, *args, **options):
+        seen.append(left.count() / right.count())
+        return skew.split_hot(left, right, *args, **options)
+
+    monkeypatch.setattr(P, "split_hot", watched)
+    P.score_comparables(df, min_score=0.9)
+    assert seen == [4.0]
+
+
+def test_hot_keys_do_not_shuffle_the_rows(spark):
+    left = spark.createDataFrame([(i, i % 3) for i in range(30)], "l int, k int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        a, _ = skew.split_hot(left, left.withColumnRenamed("l", "r"), ["k"], spread_by="r", hot_rows=5)
+        plan = a._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pairs_are_tested_by_one_short_sum(spark):
+    df = pair_rows(spark).withColumns({"block_id": F.lit(1), "neighbourhood_id": F.lit(1), "component_id": F.lit(1)})
+    plan = P.score_component(df, min_score=0.9)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.split("\n") if "_shard" in line and "Join" in line and "greatest" in line]
+    assert joins and all(line.count("greatest") == 5 for line in joins)
+
+
+def test_profiles_meet_by_number_and_without_nulls(spark):
+    data = random_listings(8, 60)
+    data += [dict(d, price=-d["price"]) for d in data if d["price"]]  # ids repeat
+    kept = G.with_duplicate_profile(listing_frame(spark, data))
+    profiles = G.number_profiles(kept)
+    matches = G.duplicate_profiles(profiles)
+    assert dict(matches.dtypes)["center"] == "bigint" and profiles.select("number").distinct().count() == profiles.count()
+    plan = matches._jdf.queryExecution().executedPlan().toString()
+    tests = [line for line in plan.split("\n") if "Join" in line and "n_max_asking_price" in line]
+    assert tests and all(line.count("coalesce") <= 1 for line in tests)
