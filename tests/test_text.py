@@ -193,3 +193,38 @@ def test_lenient_boolean(spark):
     values = [None, "", "2 albercas", "-1", "0", "1.0", "0,5", "sí", "SI ", '"yes"', "f", "No", "tal vez", "true"]
     assert apply(spark, values, A.lenient_boolean) == [
         None, None, True, False, False, True, True, True, True, True, False, False, None, True]
+
+
+def test_rows_of_one_row_group_are_spread(spark, tmp_path):
+    from terralist.session import spread
+
+    path = str(tmp_path / "one")
+    spark.range(200_000).selectExpr("id", "md5(string(id)) AS t").coalesce(1).write.option("compression", "none").parquet(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 300_000)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        df = spark.read.parquet(path)
+        # As many splits as there are cores, but the rows are in one of them.
+        cores = spark.sparkContext.defaultParallelism
+        sizes = [r.n for r in spread(df).groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert df.rdd.getNumPartitions() >= cores and sum(sizes) == 200_000
+    assert max(sizes) <= 200_000 * 2 / cores
+
+
+def test_texts_are_made_once_for_all_passes(spark):
+    from terralist.operators import vectors as V
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        made.add(1)
+        return text
+
+    texts = spark.createDataFrame([(i, f"uno dos tres {i % 3}x") for i in range(20)], "id long, raw string")
+    texts = texts.select("id", counted.asNondeterministic()("raw").alias("text"))
+    assert len(V.most_similar(V.tfidf(texts), 0, 5).collect()) == 5
+    assert made.value == 20
