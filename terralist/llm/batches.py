@@ -1,5 +1,7 @@
 """Arrow batches in tasks: add columns row-wise, with bounded pieces."""
 
+import ctypes
+import gc
 from functools import wraps
 
 import pyarrow as pa
@@ -13,14 +15,31 @@ def held(owner, key, make):
     """The one large object that a worker keeps between batches and tasks, made by ``make()``.
 
     Workers are reused from stage to stage: what an operator asks for replaces what
-    another, or the same for another key, left behind.
+    another, or the same for another key, left behind, and its memory goes back to the
+    system before the new object is made.
     """
     if _held[0] != owner or _held[1] is not key and _held[1] != key:
-        _held[:] = None, None, None
+        vacate()
         _held[:] = owner, key, make()
     return _held[2]
 
 
+def vacate():
+    """Let go of what another operator left here; for operators that hold nothing themselves."""
+    if _held[0] is not None:
+        _held[:] = None, None, None
+        release()
+
+
+def release():
+    """Give unused memory of this worker back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def sheltered(*internal):
     """For an operator on a table: columns that bear its internal names pass through renamed."""
     def wrap(operator):

@@ -218,3 +218,21 @@ def round_trip(docs, ranks, pattern, text="text", ids="ids", count="n_tokens", d
         return made | then(made)
 
     return map_batches(docs, batch, new | more, reads=[text])
+
+
+def checked_ids(docs, ranks, pattern, text="text", ids="ids", count="n_tokens", same="round_trip"):
+    """``docs`` without their texts, with the packed ids, their number, and whether they decode to the text.
+
+    The decoded text is compared where it is made and leaves no task.
+    """
+    first, new = _encoded(ranks, pattern, text, ids, count)
+
+    def batch(columns):
+        made = first(columns)
+        whole = (
+            "".join(p[1] for p in decode_blocks(ranks, packed or b"")) == (t or "")
+            for packed, t in zip(made[ids].to_pylist(), columns[text].to_pylist())
+        )
+        return made | {same: pa.array(list(whole), pa.bool_()), text: pa.nulls(len(columns[text]), pa.string())}
+
+    return map_batches(docs, batch, new | {same: T.BooleanType(), text: T.StringType()}, reads=[text], limit=1 << 20).drop(text)

@@ -92,3 +92,39 @@ def test_odd_documents(odd, clashing, none):
             assert r["n_tokens"] == len(PIECES.encode(r["text"] or ""))
     assert byte_bpe.encode(none, RANKS, public_tokenizers.PATTERN).count() == 0
     assert piece_count.count_tokens(none, MODEL).filter(F.col("n_tokens") > 0).count() == 0
+
+
+def test_checked_ids_leave_the_text_behind(spark):
+    texts = ["", None, "abc def 漢字 😀", "x" * 3000, "\x00 a  b\n"] * 3
+    df = spark.createDataFrame([(i, t, "k") for i, t in enumerate(texts)], "doc_id long, text string, own string")
+    got = byte_bpe.checked_ids(df, RANKS, public_tokenizers.PATTERN)
+    assert got.columns == ["doc_id", "own", "ids", "n_tokens", "round_trip"]
+    for r in got.collect():
+        assert ids(r.ids) == LIBRARY.encode_ordinary(texts[r.doc_id] or "") and r.n_tokens == len(r.ids) // 4 and r.round_trip
+
+
+def test_replaced_objects_are_released_first(monkeypatch):
+    from terralist.llm import batches
+
+    seen = []
+    monkeypatch.setattr(batches, "_held", [None, None, None])
+    monkeypatch.setattr(batches, "release", lambda: seen.append(batches._held[2]))
+    assert [batches.held("a", 1, lambda: "x"), batches.held("a", 1, lambda: "y"), batches.held("b", 1, lambda: "z")] == ["x", "x", "z"]
+    assert seen == [None]
+    monkeypatch.undo()
+    batches.release()
+
+
+def test_repeated_passages_drop_what_another_operator_holds(monkeypatch):
+    from terralist.llm import batches, suffix_dedup
+
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, task, schema):
+            return task
+
+    monkeypatch.setattr(batches, "_held", [None, None, None])
+    batches.held("other", 1, list)
+    assert list(suffix_dedup.anchor_rows(Docs(), 100, 16)(iter([]))) == [] and batches._held == [None, None, None]
