@@ -617,3 +617,21 @@ def test_profiles_meet_by_number_and_without_nulls(spark):
     plan = matches._jdf.queryExecution().executedPlan().toString()
     tests = [line for line in plan.split("\n") if "Join" in line and "n_max_asking_price" in line]
     assert tests and all(line.count("coalesce") <= 1 for line in tests)
+
+
+def test_scored_rows_are_shuffled_once_and_narrow(spark):
+    """Rows are dealt to the join as they are: no second shuffle for floating keys, no value twice."""
+    df = pair_rows(spark).withColumns({"no_bedrooms": F.col("no_bedrooms").cast("double"), "no_full_bathrooms": F.col("no_full_bathrooms").cast("double")})
+    plan = P.score_comparables(df, min_score=0.9)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "_shard" in line]
+    assert len(dealt) == 2 and all("REPARTITION_BY_NUM" in line for line in dealt)
+    assert "l_no_bedrooms" not in plan.split("SortMergeJoin")[-1]
+
+
+def test_signed_zeros_are_equal_keys(spark):
+    df = pair_rows(spark).limit(1).drop("id", "no_bedrooms")
+    values = spark.createDataFrame([(1, 0.0), (2, -0.0), (3, 1e300), (4, 1e300), (5, float("nan"))], "id long, no_bedrooms double")
+    df = df.crossJoin(values).withColumns({"no_full_bathrooms": F.lit(1.5), "cell": F.lit("0:0"), "price_mxn": F.col("id") + 1e6})
+    df = df.fillna({"m2_built": 50.0, "m2_terrain": 50.0}).withColumns({"property_type": F.lit("CASA"), "is_development": F.lit(False)})
+    found = P.score_comparables(df, min_score=0.9).select("id_left", "id_right", "no_full_bathrooms").collect()
+    assert sorted(map(tuple, found)) == [(1, 2, 1.5), (3, 4, 1.5)]
