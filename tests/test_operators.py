@@ -635,3 +635,22 @@ def test_signed_zeros_are_equal_keys(spark):
     df = df.fillna({"m2_built": 50.0, "m2_terrain": 50.0}).withColumns({"property_type": F.lit("CASA"), "is_development": F.lit(False)})
     found = P.score_comparables(df, min_score=0.9).select("id_left", "id_right", "no_full_bathrooms").collect()
     assert sorted(map(tuple, found)) == [(1, 2, 1.5), (3, 4, 1.5)]
+
+
+def test_duplicate_search_meets_by_numbers_and_repeats_rows_after_the_shuffle(spark):
+    """Missing, zero, negative and endless numbers match as before, and only tiles are shuffled for."""
+    values = [None, 0.0, -0.0, -5.0, 100.0, 105.0, 95.0, 104.99, 1e305, float("inf")]
+    base = dict(lat=19.4, lon=-99.1, price=None, dev=None, active=True)
+    data = [dict(base, m2=m, beds=b, baths=t) for m in values for b in (None, 0.0, -0.0, 2.0) for t in (None, 1.0)]
+    data = [dict(d, id=i) for i, d in enumerate(data)]
+    df = listing_frame(spark, data)
+    expected = brute_duplicates(data)
+    assert dict(rows(G.count_potential_duplicates(df))) == {k: len(v) for k, v in expected.items()}
+    assert listed(G.find_potential_duplicates(df, hot_rows=3), df) == expected
+    many = listing_frame(spark, random_listings(3, 60))
+    matches = G.duplicate_profiles(G.number_profiles(G.with_duplicate_profile(many)))
+    from terralist.session import kept_partitions
+    with kept_partitions(spark):
+        plan = matches.select("*")._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "_shard" in line]
+    assert "ShuffledHashJoin" in plan and len(dealt) == 2 and all("REPARTITION_BY_NUM" in line for line in dealt)
