@@ -654,3 +654,18 @@ def test_duplicate_search_meets_by_numbers_and_repeats_rows_after_the_shuffle(sp
         plan = matches.select("*")._jdf.queryExecution().executedPlan().toString()
     dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "_shard" in line]
     assert "ShuffledHashJoin" in plan and len(dealt) == 2 and all("REPARTITION_BY_NUM" in line for line in dealt)
+
+
+@pytest.mark.parametrize("order", [["v", "t"], [F.col]])
+def test_numbering_by_all_columns_evaluates_its_input_once(spark, order):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(0, 2000, 1, 5).selectExpr("(id * 7) % 2000 AS v", "'t' AS t").mapInArrow(count, "v long, t string")
+    got = O.number_rows(df, [o("v") if callable(o) else o for o in order])
+    assert rows(got.select("v", "id")) == sorted(((v, v + 1) for v in range(2000)), key=repr)
+    assert seen.value == 2000
