@@ -669,3 +669,34 @@ def test_numbering_by_all_columns_evaluates_its_input_once(spark, order):
     got = O.number_rows(df, [o("v") if callable(o) else o for o in order])
     assert rows(got.select("v", "id")) == sorted(((v, v + 1) for v in range(2000)), key=repr)
     assert seen.value == 2000
+
+
+def test_scores_by_tiles_carry_a_row_about_twice(spark, monkeypatch):
+    """Tiles give the pairs that cells give, across tile borders too; cells and bands are made after the shuffle."""
+    from terralist.queries.spatial import dealt_scores
+    from terralist.session import kept_partitions
+
+    plain = pair_rows(spark)
+    shifted = [plain.withColumn("id", F.col("id") + 1000 * i).withColumn("cell", F.concat(
+        F.split_part("cell", F.lit(":"), F.lit(1)).cast("int") + q, F.lit(":"), F.split_part("cell", F.lit(":"), F.lit(2)).cast("int") + r,
+    )) for i, (q, r) in enumerate([(0, 0), (-1, 0), (7, -9), (-8, 7), (6, 6)])]
+    df = O.union_all(*shifted).localCheckpoint()
+    for score, options in ((0.5, {}), (0.9, {}), (0.9, {"band_rows": 1}), (0.9, {"band_rows": 3, "hot_rows": 4}), (0.0, {"hot_rows": 4}), (1.0, {})):
+        expected = sorted(map(str, P.score_comparables(df, min_score=score).collect()))
+        for tile in (1, 3, P.TILE):
+            scores = P.score_comparables(df, min_score=score, tile=tile, **options)
+            with kept_partitions(spark):
+                assert expected and sorted(map(str, scores.collect())) == expected
+    seen = []
+
+    def watched(left, right, *args, **options):
+        seen.append((left.count() + right.count()) / left.count())
+        return skew.split_hot(left, right, *args, **options)
+
+    monkeypatch.setattr(P, "split_hot", watched)
+    scores = dealt_scores(df)
+    assert len(seen) == 1 and seen[0] < 3
+    with kept_partitions(spark):
+        plan = scores.select("*")._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "_shard" in line]
+    assert "ShuffledHashJoin" in plan and len(dealt) == 2 and all("REPARTITION_BY_NUM" in line for line in dealt)
