@@ -26,13 +26,14 @@ length; other columns pass through, those named as an added one are replaced.
 
 import re
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Window, functions as F, types as T
 
-from terralist.llm.batches import held, map_batches, pieces, sheltered
+from terralist.llm.batches import held, map_batches, pieces, release, sheltered, vacate
 from terralist.session import cut_lineage
 
 ORDER = 5
@@ -55,12 +56,15 @@ TOGETHER = 10_000
 SCORED_BYTES = 2 << 20
 
 _letters = re.compile(r"[^\W\d_]+").findall
+_plain = re.compile(r"[a-z]+").findall
 
 
 def runs(text):
     """Runs of letters of a text, lower-cased."""
+    if text.isascii():
+        return _plain(text.lower())
     found = _letters(text.lower())
-    return found if all(map(str.isalpha, found)) else [r for f in found for r in re.split(r"[^\w]+", "".join(c if c.isalpha() else " " for c in f)) if r]
+    return found if "".join(found).isalpha() else [r for f in found for r in re.split(r"[^\w]+", "".join(c if c.isalpha() else " " for c in f)) if r]
 
 
 def grams(run):
@@ -72,6 +76,8 @@ def grams(run):
 def count_grams(docs, text="text", label="lang"):
     """(label, gram, n) over all labelled texts."""
     def count(batches):
+        # What another operator left in this worker goes before texts are counted.
+        vacate()
         words = {}
 
         def flush():
@@ -94,6 +100,8 @@ def count_grams(docs, text="text", label="lang"):
                 if sum(map(len, words.values())) > FLUSH:
                     yield from flush()
         yield from flush()
+        # The worker stays for the next stage; the memory of the counters need not.
+        release()
 
     rows = docs.filter(F.col(text).isNotNull() & F.col(label).isNotNull()).select(label, text)
     return rows.mapInArrow(count, "label string, gram string, n long").groupBy("label", "gram").agg(F.sum("n").alias("n"))
@@ -251,14 +259,15 @@ class Scorer(dict):
         if len(self) > CACHED:
             self.clear()
             self.matrix, self.opened = self.matrix[:0], []
-        new = [w for w in dict.fromkeys(w for f in found for w in f) if w not in self]
+        every = list(chain.from_iterable(found))
+        new = [w for w in dict.fromkeys(every) if w not in self]
         if new:
             self.update(zip(new, range(len(self.matrix), len(self.matrix) + len(new)), strict=True))
             done = [self.models.score_stored(new[i:i + TOGETHER]) for i in range(0, len(new), TOGETHER)]
             self.matrix = np.concatenate([self.matrix, *(m for m, _ in done)])
             self.opened.extend(o for _, opened in done for o in opened or ())
-        rows = np.fromiter((self[w] for f in found for w in f), np.int64)
-        letters = np.fromiter((len(w) + 1 for f in found for w in f), np.int64)
+        rows = np.fromiter(map(self.__getitem__, every), np.int64, len(every))
+        letters = np.fromiter(map(len, every), np.int64, len(every)) + 1
         owner = np.repeat(np.arange(len(values)), [len(f) for f in found])
         symbols = np.bincount(owner, letters, len(values)).astype(np.int64)
         sums = np.stack([np.bincount(owner, self.matrix[rows, j], len(values)) for j in range(self.matrix.shape[1])], axis=1)

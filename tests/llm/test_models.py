@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -207,3 +208,30 @@ def test_state_is_carried_across_windows():
     steps = recurrent_lm.forward(parameters, x, np.zeros((1, recurrent_lm.HIDDEN), np.float32), [1] * len(x))
     logits, _, total = recurrent_lm.class_logs(parameters, np.concatenate([s[5] for s in steps]))
     assert abs((logits[np.arange(len(y)), y[:, 0]] - np.log(total[:, 0])).sum() / np.log(10) - whole) < 1e-3
+
+
+def test_counting_letters_lets_go_of_what_another_operator_left(spark):
+    from terralist.llm import batches
+
+    class Docs:
+        """Takes the function that tasks run."""
+
+        def mapInArrow(self, function, schema):  # noqa: N802
+            self.count = function
+            return self
+
+        filter = select = groupBy = agg = lambda self, *args: self  # noqa: N815
+
+    docs = Docs()
+    langid.count_grams(docs)
+    batches.held("byte_bpe", "ranks", object)
+    batch = pa.RecordBatch.from_pydict({"lang": ["a", "b"], "text": ["Ab ab", "x1²y_Éa"]})
+    begun = docs.count(iter([batch]))
+    first = next(begun)
+    assert batches._held == [None, None, None]
+    seen = [(r["label"], r["gram"], r["n"]) for part in (first, *begun) for r in part.to_pylist()]
+    expected = Counter()
+    for name, run, n in (("a", "ab", 2), ("b", "x", 1), ("b", "y", 1), ("b", "éa", 1)):
+        for g in langid.grams(run):
+            expected[name, g] += n
+    assert {(name, g): n for name, g, n in seen} == expected and len(seen) == len(expected)
