@@ -109,9 +109,15 @@ def count_grams(docs, text="text", label="lang"):
 
 def hashes(symbols, length):
     """Hash of the ``length`` code points ending at each row's last column."""
-    h = np.full(len(symbols), length, np.uint64)
-    for c in range(symbols.shape[1] - length, symbols.shape[1]):
-        h = (h ^ symbols[:, c]) * np.uint64(0x9E3779B97F4A7C15)
+    return hashed([symbols[:, c] for c in range(symbols.shape[1] - length, symbols.shape[1])], len(symbols))
+
+
+def hashed(columns, rows):
+    """The same of code points given by column."""
+    h = np.full(rows, len(columns), np.uint64)
+    for c in columns:
+        h ^= c
+        h *= np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
     return h
 
@@ -220,19 +226,25 @@ class Models:
         at = np.flatnonzero(keep)
         begins = np.cumsum(sizes) - sizes
         inside = np.arange(len(at)) - np.repeat(begins, sizes) + 1
-        columns = np.stack([points[np.maximum(at - d, 0)] for d in range(ORDER - 1, -1, -1)], axis=1)
+        columns = [points[np.maximum(at - d, 0)] for d in range(ORDER - 1, -1, -1)]
         p = np.full((len(at), len(self.languages)), self.uniform, np.float32)
         left = np.zeros(len(at), bool)
         for order in range(1, ORDER + 1):
-            deep = np.flatnonzero(inside >= order - 1)
-            c = columns[deep]
-            row, known = self.context[order].rows(hashes(c[:, :-1], order - 1))
-            left[deep[~known]] = True
-            deep, c, row = deep[known], c[known], row[known]
+            # Rows whose context is known; the first orders hold every row, so nothing is copied.
+            deep = slice(None) if order <= 2 else np.flatnonzero(inside >= order - 1)
+            own = [c[deep] for c in columns[ORDER - order:]]
+            row, known = self.context[order].rows(hashed(own[:-1], len(at) if order <= 2 else len(deep)))
+            if not known.all():
+                deep = np.arange(len(at)) if order <= 2 else deep
+                left[deep[~known]] = True
+                deep, row, own = deep[known], row[known], [c[known] for c in own]
             q = p[deep] * self.context[order].values[row]
-            row, known = self.seen[order].rows(hashes(c, order))
-            left[deep[~known]] = True
-            q[known] += self.seen[order].values[row[known]]
+            row, known = self.seen[order].rows(hashed(own, len(q)))
+            if known.all():
+                q += self.seen[order].values[row]
+            else:
+                left[np.arange(len(at))[deep][~known]] = True
+                q[known] += self.seen[order].values[row[known]]
             p[deep] = q
         logs = np.log(p)
         # Only tables that are a part of the model leave n-grams open.
@@ -251,7 +263,12 @@ class Scorer(dict):
     def __init__(self, models):
         self.models = models
         self.matrix = np.zeros((0, len(models.languages)), np.float32)
-        self.opened = []
+        self.opened, self.new = [], []
+
+    def __missing__(self, run):
+        row = self[run] = len(self.matrix) + len(self.new)
+        self.new.append(run)
+        return row
 
     def texts(self, values):
         """(symbols, log probability per language, runs) of texts."""
@@ -260,13 +277,12 @@ class Scorer(dict):
             self.clear()
             self.matrix, self.opened = self.matrix[:0], []
         every = list(chain.from_iterable(found))
-        new = [w for w in dict.fromkeys(every) if w not in self]
-        if new:
-            self.update(zip(new, range(len(self.matrix), len(self.matrix) + len(new)), strict=True))
+        rows = np.fromiter(map(self.__getitem__, every), np.int64, len(every))
+        if self.new:
+            new, self.new = self.new, []
             done = [self.models.score_stored(new[i:i + TOGETHER]) for i in range(0, len(new), TOGETHER)]
             self.matrix = np.concatenate([self.matrix, *(m for m, _ in done)])
             self.opened.extend(o for _, opened in done for o in opened or ())
-        rows = np.fromiter(map(self.__getitem__, every), np.int64, len(every))
         letters = np.fromiter(map(len, every), np.int64, len(every)) + 1
         owner = np.repeat(np.arange(len(values)), [len(f) for f in found])
         symbols = np.bincount(owner, letters, len(values)).astype(np.int64)

@@ -235,3 +235,16 @@ def test_counting_letters_lets_go_of_what_another_operator_left(spark):
         for g in langid.grams(run):
             expected[name, g] += n
     assert {(name, g): n for name, g, n in seen} == expected and len(seen) == len(expected)
+
+
+def test_scorer_looks_runs_up_once():
+    models = langid.Models({"x": dict(Counter(langid.grams("abc"))), "y": dict(Counter(langid.grams("bcd")))})
+    scorer = langid.Scorer(models)
+    # A run gets its row when it is met, and is scored with all others of its texts.
+    symbols, sums, found = scorer.texts(["abc Bcd abc", None, "zz漢字"])
+    assert list(scorer.items()) == [("abc", 0), ("bcd", 1), ("zz漢字", 2)] and scorer["new"] == 3 and scorer.new == ["new"]
+    assert symbols.tolist() == [12, 0, 5] and found[1] == []
+    for own, total in zip(found, sums, strict=True):
+        want = models.score(own).sum(axis=0) if own else np.zeros(2)
+        assert np.abs(total - want).max() < 1e-5
+    assert np.abs(scorer.texts(["new abc"])[1][0] - models.score(["new", "abc"]).sum(axis=0)).max() < 1e-5
