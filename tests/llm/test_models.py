@@ -248,3 +248,72 @@ def test_scorer_looks_runs_up_once():
         want = models.score(own).sum(axis=0) if own else np.zeros(2)
         assert np.abs(total - want).max() < 1e-5
     assert np.abs(scorer.texts(["new abc"])[1][0] - models.score(["new", "abc"]).sum(axis=0)).max() < 1e-5
+
+
+def lm_vocabulary(kinds, outside=0):
+    words = [b" ", *(b"w%05d" % i for i in range(1, kinds))]
+    counts = [20_000 // (1 + i) + 1 for i in range(kinds)]
+    return recurrent_lm.Vocabulary(words, counts, sum(counts) + outside, kinds + outside)
+
+
+@pytest.mark.parametrize(("kinds", "outside"), [(3, 5), (300, 0), (6000, 700)])
+def test_classes_and_words_within_them_make_one_distribution(kinds, outside):
+    words = lm_vocabulary(kinds, outside)
+    classes = recurrent_lm.classes_of(words.firsts)
+    own = words.outcomes[:min(kinds, recurrent_lm.WORDS)]
+    assert len(set(own.tolist())) == len(own) and (np.diff(classes[words.outcomes]) >= 0).all()
+    # The words of an outcome, unseen ones included, share it whole.
+    mass = np.bincount(words.outcomes[:-1], 10.0 ** words.shares[:-1], words.firsts[-1])
+    unseen = (outside + recurrent_lm.ADDED * (outside + 1)) * 10.0 ** words.shares[-1]
+    mass[words.outcomes[-1]] += unseen
+    used = np.unique(words.outcomes)
+    assert len(used) == words.firsts[-1] and np.abs(mass[used] - 1).max() < 1e-9
+    rng = np.random.default_rng(3)
+    parameters = [p + rng.standard_normal(p.shape).astype(np.float32) for p in recurrent_lm.fresh(7, words.firsts)]
+    before = words.outcomes[rng.integers(0, kinds, 5)]
+    alone = recurrent_lm.log_likelihoods(parameters, [before], words.firsts)[0]
+    longer = recurrent_lm.log_likelihoods(parameters, [np.append(before, o) for o in range(words.firsts[-1])], words.firsts)
+    empty = np.flatnonzero(np.diff(words.firsts) == 0)
+    steps = recurrent_lm.forward(parameters, np.append(-1, before)[:, None], np.zeros((1, recurrent_lm.HIDDEN), np.float32), [1] * 6)
+    _, e, total = recurrent_lm.class_logs(parameters, steps[-1][5])
+    # Classes without any word keep their part of the softmax over classes.
+    assert abs((10.0 ** (longer - alone)).sum() + (e / total)[0, empty].sum() - 1) < 1e-3
+
+
+def test_words_within_a_class_are_learned():
+    words = lm_vocabulary(300)
+    # Of two words of one class, each always follows its own word.
+    a, b = 40, 41
+    classes = recurrent_lm.classes_of(words.firsts)
+    assert classes[words.outcomes[a]] == classes[words.outcomes[b]]
+    rng = np.random.default_rng(5)
+    sequences = [words.outcomes[[x for k in rng.integers(0, 2, 40) for x in ((3, a) if k else (5, b))]] for _ in range(300)]
+    parameters = recurrent_lm.fresh(7, words.firsts)
+    parameters[5][:] = words.bias
+    moments = [0, [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters]]
+    for _ in range(20):
+        recurrent_lm.train(parameters, sequences, moments, words.firsts)
+    right, wrong = recurrent_lm.log_likelihoods(parameters, [words.outcomes[[3, a, 5, b]], words.outcomes[[3, b, 5, a]]], words.firsts)
+    assert right > wrong + 1
+
+
+def test_gradients_within_classes_by_difference():
+    words = lm_vocabulary(120)
+    rng = np.random.default_rng(1)
+    sequences = [words.outcomes[rng.integers(0, 120, n)] for n in (40, 30, 9)]
+    start = [p + rng.standard_normal(p.shape).astype(np.float32) * np.float32(0.3) for p in recurrent_lm.fresh(7, words.firsts)]
+    tokens = sum(map(len, sequences))
+    moved = [p.copy() for p in start]
+    moments = [0, [np.zeros_like(p) for p in moved], [np.zeros_like(p) for p in moved]]
+    recurrent_lm.train(moved, sequences, moments, words.firsts)
+
+    def loss(k, at, by):
+        trial = [q.astype(np.float64) for q in start]
+        trial[k].ravel()[at] += by
+        return -recurrent_lm.log_likelihoods(trial, sequences, words.firsts).sum() * np.log(10) / tokens
+
+    for k in range(6):
+        # Squares within classes are of the gradient itself, first moments a tenth of it.
+        got = np.sqrt(moments[2][k]) if k > 3 else 10 * np.abs(moments[1][k])
+        for at in got.ravel().argsort()[-3:]:
+            assert abs(abs(loss(k, at, 1e-3) - loss(k, at, -1e-3)) / 2e-3 - got.ravel()[at]) < 2e-3
