@@ -24,6 +24,8 @@ like other equal texts; a null id is never the smallest; an empty table gives an
 empty result; extra columns are not read.  Sets and n-grams are 64-bit hashes.
 """
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -39,17 +41,22 @@ BUCKETS = 1 << 20
 ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 FILTER_BITS = 1 << 23
 WORDS = 500_000
+#: Bytes of text made into sets at a time; a worker holds many times that in words.
+TEXT_BYTES = 1 << 20
 
 
 class WordHashes(dict):
     """Word -> 64-bit hash; forgets when full."""
 
-    def __missing__(self, word):
+    def __init__(self):
         import xxhash
 
+        self.digest = xxhash.xxh3_64_intdigest
+
+    def __missing__(self, word):
         if len(self) >= WORDS:
             self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = self[word] = self.digest(word)
         return h
 
 
@@ -67,7 +74,7 @@ def words_of(texts):
     words = [t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in texts]
     counts = np.array([len(w) for w in words], np.int64)
     known = held("jaccard", "words", WordHashes)
-    flat = np.fromiter((known[w] for doc in words for w in doc), np.uint64, int(counts.sum()))
+    flat = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.uint64, int(counts.sum()))
     ends = np.cumsum(counts)
     return flat, (ends - counts).tolist(), ends.tolist()
 
@@ -94,8 +101,13 @@ def sets_of_words(flat, starts, ends, size=SIZE, frequency=None):
     sets = []
     for a, b in zip(starts, ends, strict=True):
         if b - a >= size:
-            tokens, at = np.unique(grams[a:b - size + 1], return_index=True)
-            own = rarest[a:b - size + 1][at]
+            # Sorting is several times as fast as numpy's own search for distinct values.
+            given = grams[a:b - size + 1]
+            at = None if frequency is None else np.argsort(given)
+            tokens = np.sort(given) if at is None else given[at]
+            first = np.append(True, tokens[1:] != tokens[:-1])
+            tokens = tokens[first]
+            own = None if at is None else rarest[a:b - size + 1][at[first]]
         elif b > a:
             h = np.full(1, b - a, np.uint64)
             for k in range(a, b):
@@ -156,7 +168,7 @@ def first_tokens(tokens, classes, order, count):
 def _each_text(batches, size, frequency):
     """(rows, sets) for pieces of the batches: the text is the last column."""
     for batch in batches:
-        for piece in pieces(batch):
+        for piece in pieces(batch, TEXT_BYTES):
             yield piece, shingle_sets(piece.column(piece.num_columns - 1).to_pylist(), size, frequency)
 
 
@@ -168,7 +180,7 @@ def profiles(docs, key, text, size, buckets):
         counts = np.zeros((2, buckets), np.int64)
         shift = np.uint64(64 - int(buckets).bit_length() + 1)
         kind = None
-        for piece in (p for batch in batches for p in pieces(batch)):
+        for piece in (p for batch in batches for p in pieces(batch, TEXT_BYTES)):
             kind = piece.schema.types[0]
             flat, starts, ends = words_of(piece.column(1).to_pylist())
             sets = sets_of_words(flat, starts, ends, size)
@@ -286,7 +298,7 @@ def _wanted_sets(docs, text, wanted, frequency, size, bits, columns, schema):
         seen = set()
         for _, sets in _each_text(batches, size, frequency):
             rows = []
-            for s, classes in sets:
+            for s, classes in sets if frequency is not None else ((s, None) for s in sets):
                 if not len(s):
                     continue
                 v = vertex(s)
@@ -314,9 +326,9 @@ def order_sketches(docs, text, wanted, frequency, size, percent, bits=FILTER_BIT
     return _wanted_sets(docs, text, wanted, frequency, size, bits, columns, ["second", "third"])
 
 
-def whole_sets(docs, text, wanted, frequency, size, bits=FILTER_BITS):
+def whole_sets(docs, text, wanted, size, bits=FILTER_BITS):
     """(v, n, tokens) of the sets in ``wanted``."""
-    return _wanted_sets(docs, text, wanted, frequency, size, bits, lambda s, _: [s.tobytes()], ["tokens"])
+    return _wanted_sets(docs, text, wanted, None, size, bits, lambda s, _: [s.tobytes()], ["tokens"])
 
 
 def least_shared(nx, ny, percent):
@@ -395,7 +407,7 @@ def set_components(docs, frequency, text="text", size=SIZE, percent=PERCENT, sta
         passed, count = passing(cut_lineage(pairs.distinct()), sketches, percent)
         if not count:
             continue
-        sets = whole_sets(docs, text, passed.select(F.explode(F.array("x", "y")).alias("v")), frequency, size)
+        sets = whole_sets(docs, text, passed.select(F.explode(F.array("x", "y")).alias("v")), size)
         found = linked(passed, sets, percent).select(F.col("x").alias("src"), F.col("y").alias("dst"))
         links = found if links is None else links.union(found)
         labels = cut_lineage(

@@ -3,6 +3,8 @@
 import itertools
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from samples import prose
@@ -94,3 +96,16 @@ def test_odd_documents(odd, clashing, none):
         found = jaccard.near_duplicates(docs, buckets=1 << 12).collect()
         assert sorted((tuple(r) for r in found), key=repr) == brute(rows, 4, 85)
     assert jaccard.near_duplicates(none, buckets=1 << 12).count() == 0
+
+
+def test_sets_are_made_of_a_megabyte_at_a_time():
+    texts = [prose(k, 2000, [f"w{j}" for j in range(50)]) for k in range(500)]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    assert batch.nbytes > 2 * jaccard.TEXT_BYTES
+    got = list(jaccard._each_text([batch], 4, None))
+    assert max(piece.nbytes for piece, _ in got) <= jaccard.TEXT_BYTES
+    sizes = [len(s) for _, sets in got for s in sets]
+    assert sizes == [len(s) for s in word_sets(list(enumerate(texts)), 4)]
+    counts = np.zeros(64, np.int64)
+    with_classes = [s for _, sets in jaccard._each_text([batch], 4, jaccard.Frequency(counts, counts)) for s, _ in sets]
+    assert all((s == t).all() and (s[1:] > s[:-1]).all() for s, t in zip((s for _, sets in got for s in sets), with_classes, strict=True))
