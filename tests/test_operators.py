@@ -179,6 +179,35 @@ def test_cover_grows_with_groups_not_rows(spark):
     assert none.members.count() == none.links.count() == none.total().first()[0] == 0
 
 
+@pytest.mark.parametrize("hot_rows,part_rows", [(20_000, 10_000), (3, 7), (3, 1)])
+def test_lists_of_a_cover(spark, hot_rows, part_rows):
+    """Every row has all its partners, in order and in parts; rows without any have one empty part."""
+    data = random_listings(5)
+    expected = brute_duplicates(data)
+    df = listing_frame(spark, data)
+    found = G.find_potential_duplicates(df, hot_rows=hot_rows).lists("found", "n", part_rows=part_rows).collect()
+    got = {k: [] for k in expected}
+    for r in sorted(found, key=lambda r: (r.id, r.part)):
+        assert r.n == len(expected[r.id]) and len(r.found) <= part_rows and (r.found or (r.n == 0 and r.part == 0))
+        got[r.id] += r.found
+    assert got == expected and len({(r.id, r.part) for r in found}) == len(found)
+    # A null id is counted, but has no name that could be listed.
+    base = dict(lat=19.4, lon=-99.1, m2=None, beds=None, baths=None, dev=None, active=True, price=1.0)
+    odd = listing_frame(spark, [dict(base, id=1), dict(base, id=None), dict(base, id=3, lat=None)])
+    lists = G.find_potential_duplicates(odd).lists("found", "n", part_rows=part_rows)
+    assert rows(lists.select("id", "n", "part", "found")) == [(1, 1, 0, []), (3, 0, 0, []), (None, 1, 0, [1])]
+
+
+def test_potential_duplicates_are_listed(spark, monkeypatch):
+    """The query returns who the possible duplicates are, not only how many."""
+    from terralist.queries import spatial as Q
+
+    data = random_listings(5)
+    monkeypatch.setattr(Q, "points", lambda spark, folder: listing_frame(spark, data))
+    got = {r.id: (r.n_duplicates, r.potential_duplicates) for r in Q.potential_duplicates(spark, "").collect()}
+    assert got == {k: (len(v), str(v).replace(" ", "")) for k, v in brute_duplicates(data).items()}
+
+
 def test_duplicate_boundaries(spark):
     base = dict(lat=19.4, lon=-99.1, m2=None, beds=None, baths=None, dev=None, active=True)
     data = [dict(base, id=1, price=100.0), dict(base, id=2, price=115.0), dict(base, id=3, price=85.0),
