@@ -322,6 +322,20 @@ def test_comparables_equal_brute_force(spark):
     assert P.comparables_of(df, seed=1).count() > 1
 
 
+def test_comparables_are_listed(spark, monkeypatch):
+    """The query returns which listings are comparable, not only how many; null without any."""
+    from terralist.queries import spatial as Q
+
+    df = pair_rows(spark)
+    data = df.collect()
+    expected = {
+        a.id: sorted(b.id for b in data if b.id != a.id and near(a.cell, b.cell) and all(a[k] is not None and a[k] == b[k] for k in KEYS))
+        for a in data}
+    monkeypatch.setattr(Q, "with_cells", lambda spark, folder: df)
+    got = {r.id: (r.n_comparables, r.part, r.comparable_ids) for r in Q.comparables(spark, "").collect()}
+    assert any(expected.values()) and got == {k: (len(v), 0, str(v).replace(" ", "") if v else None) for k, v in expected.items()}
+
+
 @pytest.mark.parametrize("min_score", [0.0, 0.6, 0.9, 0.97, 1.0])
 @pytest.mark.parametrize("hot_rows", [20_000, 4])
 def test_comparable_scores_equal_brute_force(spark, min_score, hot_rows):
