@@ -219,6 +219,29 @@ def test_duplicate_boundaries(spark):
     assert got[6] == [] and 6 in got[1] and 5 not in got[4]
 
 
+@pytest.mark.parametrize("numbers", [None, ["m2_built", "no_bedrooms"]])
+def test_radius_search_forms_each_pair_once(spark, numbers):
+    """Poles, the antimeridian and missing numbers included; a row meets itself once."""
+    data = [dict(d, id=i) for i, d in enumerate(random_listings(9, 200)) if d["lat"] is not None and d["lon"] is not None]
+    by_id = {d["id"]: d for d in data}
+    df = listing_frame(spark, data).select("id", "lat", "lon", "m2_built", "no_bedrooms")
+    tolerances = {c: t for c, t in (("m2_built", (0.95, 1.05)), ("no_bedrooms", (1.0, 1.0))) if numbers}
+    found = G.radius_pairs(df, radius_km=0.2, key="id", tolerances=tolerances, hot_rows=3).select("id", "n_id").collect()
+    pairs = [tuple(sorted(p)) for p in found]
+
+    def near(a, b):
+        p1, p2 = math.radians(a["lat"]), math.radians(b["lat"])
+        h = math.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin(math.radians(b["lon"] - a["lon"]) / 2) ** 2
+        return 2 * 6371 * math.asin(min(1, math.sqrt(h))) <= 0.2
+
+    def match(a, b):
+        return not numbers or all(a[k] is None or b[k] is None or a[k] * lo <= b[k] <= a[k] * hi for k, lo, hi in (("m2", 0.95, 1.05), ("beds", 1.0, 1.0)))
+
+    expected = {(a, b) for a in by_id for b in by_id if a <= b and near(by_id[a], by_id[b]) and (match(by_id[a], by_id[b]) or match(by_id[b], by_id[a]))}
+    assert len(set(pairs)) == len(pairs) and expected <= set(pairs)
+    assert numbers or set(pairs) == expected
+
+
 def test_radius_join_has_no_cross_join(spark):
     df = listing_frame(spark, random_listings(2, 40))
     plan = G.count_potential_duplicates(df)._jdf.queryExecution().toString()
