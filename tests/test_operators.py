@@ -673,6 +673,28 @@ def test_pairs_are_tested_by_one_short_sum(spark):
     assert joins and all(line.count("greatest") == 5 for line in joins)
 
 
+def test_scores_without_cells_shuffle_their_rows_once(spark):
+    """Both sides of the join are one shuffle; rows of hot keys alone are dealt out again."""
+    from terralist.operators.pairs import _dealt_once
+
+    df = pair_rows(spark).withColumns({"block_id": F.col("id") % 2, "neighbourhood_id": F.col("id") % 2, "component_id": F.lit(1)})
+    for scorer in (P.score_component, P.score_neighbourhood):
+        for score in (0.9, 0.6):
+            found = [sorted(map(str, scorer(df, min_score=score, hot_rows=hot).collect())) for hot in (20_000, 4)]
+            assert found[0] and found[0] == found[1]
+    rows = spark.range(20).selectExpr("id", "id % 2 AS k")
+    (left, right), (others, again) = _dealt_once(rows, ["k"], 4, 20_000)
+    assert left is right is again and others.count() == 0
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = P.score_component(df, min_score=0.9)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # Both sides of both joins, of which the rows of hot keys are the only other ones.
+    assert plan.count("ReusedExchange") >= 2
+    assert sum("Exchange hashpartitioning" in line and "REPARTITION_BY_NUM" in line and "Reused" not in line for line in plan.splitlines()) == 2
+
+
 def test_profiles_meet_by_number_and_without_nulls(spark):
     data = random_listings(8, 60)
     data += [dict(d, price=-d["price"]) for d in data if d["price"]]  # ids repeat
